@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 #: Used only where the session names no shared folder, as in tests.
 FALLBACK_DIR = "/tmp/checkpoints/loomgraph"
-#: Rows of one Arrow batch: whole texts can be long, and two workers share an executor's memory.
-ARROW_ROWS = 400
+#: Bytes of one Arrow batch: whole texts can be long, and workers share an executor's memory.
+ARROW_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -28,8 +28,8 @@ def prepare(spark: SparkSession) -> None:
                 z.write(p, str(Path(root.name) / p.relative_to(root)))
         sc.addPyFile(str(target))
         sc._loomgraph_shipped = True
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) > ARROW_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:

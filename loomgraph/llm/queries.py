@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import bpe, packing, tokencount
+from loomgraph.llm import bpe, langid, packing, secrets, suffixdedup, tokencount, urlfilter
 
 
 def tokenizer_path(name: str) -> str:
@@ -21,10 +21,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    judged = langid.predict(docs.withColumn("held_out", langid.is_held_out()), langid.train(docs), keep=("doc_id", "held_out"))
+    return judged.select("doc_id", "held_out", "lang_pred", "score", "languages", "shares")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(documents(spark, sf_dir))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digests(documents(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -34,5 +52,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op6_packing, op9_bpe, op10_token_counts)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_url_filter, op3_language_id, op4_secrets, op6_packing, op8_suffix_dedup, op9_bpe, op10_token_counts)}
+ORACLES: dict[str, str] = {"op2_url_filter": urlfilter.oracle(), "op4_secrets": secrets.oracle()}
