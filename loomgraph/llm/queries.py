@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import bpe, langid, packing, secrets, suffixdedup, tokencount, urlfilter
+from loomgraph.llm import bpe, egojoin, kdtree, langid, minhash, packing, secrets, suffixdedup, tokencount, urlfilter
 
 
 def tokenizer_path(name: str) -> str:
@@ -21,6 +21,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return egojoin.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.95)
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -35,10 +39,18 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(documents(spark, sf_dir))
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), width=4, percent=80)
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.digests(documents(spark, sf_dir))
 
@@ -52,5 +64,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_url_filter, op3_language_id, op4_secrets, op6_packing, op8_suffix_dedup, op9_bpe, op10_token_counts)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_embeddings, op2_url_filter, op3_language_id, op4_secrets, op5_top_k, op6_packing, op7_minhash, op8_suffix_dedup, op9_bpe, op10_token_counts)}
 ORACLES: dict[str, str] = {"op2_url_filter": urlfilter.oracle(), "op4_secrets": secrets.oracle()}
