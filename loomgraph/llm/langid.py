@@ -148,21 +148,26 @@ def train(docs: DataFrame) -> LanguageModel:
     return LanguageModel(sorted(got), (p / p.sum(1, keepdims=True)).astype(np.float32))
 
 
-def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns keep of docs(text, ...), then lang_pred, score, languages (the selected set, largest share first) and shares."""
+RESULTS = ("lang_pred", "score", "languages", "shares")
+
+
+def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc_id",), names: tuple[str, ...] = RESULTS) -> DataFrame:
+    """The columns keep of docs(text, ...), then, under the given names, the prediction, its score, the selected set of languages (largest share first) and their shares."""
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast((model.languages, model.p))
-    kept = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.fields
-    fields = [*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("languages", T.ArrayType(T.StringType())), T.StructField("shares", T.ArrayType(T.DoubleType()))]
-    names = [f.name for f in fields]
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep])
+    kinds = (T.StringType(), T.DoubleType(), T.ArrayType(T.StringType()), T.ArrayType(T.DoubleType()))
+    fields = [*rows.schema.fields, *[T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]]
+    names = tuple(f.name for f in fields)
+    at = keep.index("text") if "text" in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, p = shared.value
         for batch in batches:
             for lo in range(0, batch.num_rows, 250):
                 part = batch.slice(lo, 250)
-                texts = part.column(part.num_columns - 1)
+                texts = part.column(at)
                 counts = histogram(texts)
                 known = counts.sum(1) > 0
                 for i in np.flatnonzero(known & (counts.sum(1) < 40)):  # bytes beyond ASCII may be no letters
@@ -179,7 +184,15 @@ def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc
                         pred[i], score[i] = languages[order[0]], s
                         sets[i], parts[i] = [languages[j] for j in order], [float(c[j]) for j in order]
                 out = [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pa.list_(pa.string())), pa.array(parts, pa.list_(pa.float64()))]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *out], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *out], names=names)
+
+    if "text" not in keep:
+        rows = docs.select(*[F.col(f"`{c}`") for c in keep], "text")
+    return rows.mapInArrow(run, T.StructType(fields))
+
 
-    text = F.col("text").alias("_whole_text")
-    return docs.select(*[F.col(f"`{c}`") for c in keep], text).mapInArrow(run, T.StructType(fields))
+def keep_known(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """docs without those whose language is unknown."""
+    names = tuple(docs.columns)
+    own = tuple(f"_langid_{i}_{'_'.join(names)}" for i in range(4))  # no column has such a name
+    return predict(docs, model, names, own).where(F.col(f"`{own[0]}`") != UNKNOWN).select(*[F.col(f"`{c}`") for c in names])

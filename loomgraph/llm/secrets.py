@@ -123,7 +123,8 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule,
     names = docs.columns
     ledger = materialize(update(docs, ledger, rules), "ledger")
     found = ledger.where(F.col("rule_version") == rule_version(rules)).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    joined = docs.withColumn("_blob", address(F.col("text"))).join(found, "_blob", "left")
+    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), address(F.col("text")).alias("_blob"))
+    joined = rows.join(found, "_blob", "left")
     # spans in order, overlapping ones as one: a span starts a new one where it starts after all before it have ended
     s = F.col("_spans")
     far = F.transform(s, lambda x, i: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.coalesce(F.array_max(F.transform(F.slice(s, 1, i), lambda y: y["end"])), F.lit(-1).cast("long")).alias("far")))
@@ -135,9 +136,10 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule,
     tail = F.substr(F.col("text"), (F.array_max(F.transform(s, lambda y: y["end"])) + 1).cast("int"))
     new = F.when(F.size(s) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(F.col("text"))
     out = joined.withColumn("text", new)
+    get = {c: F.col(f"_row.`{c}`") for c in names} | {"text": F.col("text")}
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.size(s) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in names])
+        get["n_chars"] = F.when(F.size(s) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(get["n_chars"])
+    return out.select(*[get[c].alias(c) for c in names])
 
 
 def oracle(rules: tuple[Rule, ...] = RULES) -> str:
