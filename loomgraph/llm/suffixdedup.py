@@ -10,7 +10,7 @@ Every byte covered by a LENGTH-byte string that also starts earlier (smaller doc
    by eight-byte characters to a shallow depth, then blind tries for the groups that still share a prefix. The
    longest common prefixes of neighbours tell which windows agree at each distance from the anchor; all but the first of each are repeats.
 4. An anchor hash with more than HOT classes in one task is spread: its windows are grouped by their own 128-bit
-   hashes instead, with minima combined before the shuffle. So no group of unbounded size meets in a task.
+   hashes instead, of which each task sends the first; minima are combined before the shuffle. So no group of unbounded size meets in a task.
 
 Null texts count as empty. Rows without a doc_id are left out. Rows repeated under one doc_id count as one document and give a result
 each. Tables without rows give none. Columns other than doc_id and text are ignored, whatever their names.
@@ -35,6 +35,8 @@ WINDOW = LENGTH - GRAM + 1  # 64 anchors to choose from
 SEGMENT, TABLE = 1 << 18, 1 << 20
 #: Classes of one anchor hash in one task beyond which its windows are grouped by their own hashes.
 HOT = 64
+#: Hot anchors whose windows a task holds at once.
+HOT_ANCHORS = 50_000
 #: Eight-byte characters of the multikey sort.
 SHALLOW = 2
 
@@ -191,9 +193,14 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             beacon = h[hot & new_h]
             zero = np.zeros(len(beacon), dtype=np.int64)
             yield from rows_of(beacon, zero, zero, zero, np.full(len(beacon), BEACON))
-            for k in np.unique(part[hot]):
-                at = np.flatnonzero(hot & (part == k))
-                yield from windows(Hashed(held[k][7]), doc[at], lo[at], hi[at], base[at])
+            every = np.flatnonzero(hot)
+            for i in range(0, len(every), HOT_ANCHORS):
+                some = every[i : i + HOT_ANCHORS]
+                found = []
+                for k in np.unique(part[some]):
+                    at = some[part[some] == k]
+                    found.append(windows(Hashed(held[k][7]), doc[at], lo[at], hi[at], base[at]))
+                yield from first_windows(*(np.concatenate(x) for x in zip(*found, strict=True)))
         held.clear()
 
     ids, texts, size = [], [], 0
@@ -222,13 +229,25 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-def windows(hashed: Hashed, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of the windows from lo to hi of anchors in one segment, by two hashes of their own."""
+def windows(hashed: Hashed, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The windows from lo to hi of anchors in one segment: two hashes, document, start."""
     n = hi - lo + 1
     start = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     p = start + np.repeat(base, n)
     a, b = mix(hashed.raw(0, p, p + LENGTH)), mix(hashed.raw(1, p, p + LENGTH))
-    yield from rows_of(a, b, np.repeat(doc, n), start, np.full(len(p), HASHED))
+    return a, b, np.repeat(doc, n), start
+
+
+def first_windows(a: np.ndarray, b: np.ndarray, doc: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for the first of equal windows, and the spans that the others cover."""
+    o = np.lexsort((at, doc, b, a))
+    a, b, doc, at = a[o], b[o], doc[o], at[o]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    again = ~new & ((doc != doc[first]) | (at != at[first]))
+    yield from rows_of(a[new], b[new], doc[new], at[new], np.full(int(new.sum()), HASHED))
+    d, x, y = runs(doc[again], at[again], at[again] + LENGTH)
+    yield from rows_of(mix(d.astype(np.uint64) ^ x.astype(np.uint64) << np.uint64(20)), y, d, x, np.full(len(d), SPAN))
 
 
 def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -426,7 +445,7 @@ def _fetch(hot: bool):
                 if hot and own:
                     at, ext = np.array([w[1] for w in own]), np.array([w[2] for w in own])
                     lo = at - (ext >> 8)
-                    yield from windows(Hashed(np.frombuffer(t, dtype=np.uint8)), np.full(len(own), i), lo, lo + (ext & 255), np.zeros(len(own), dtype=np.int64))
+                    yield from first_windows(*windows(Hashed(np.frombuffer(t, dtype=np.uint8)), np.full(len(own), i), lo, lo + (ext & 255), np.zeros(len(own), dtype=np.int64)))
                 elif not hot:
                     for h, at, ext in own:
                         lo = at - (ext >> 8)
@@ -454,8 +473,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     by_suffix = context.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_sorted, ROWS_SQL)
     spans = found.where(f"ext = {SPAN}").unionByName(by_suffix).select("doc_id", F.col("at").alias("start"), F.col("c").alias("end"))
     if not found.where(f"ext = {HASHED} OR (ext >= 0 AND c = 1)").isEmpty():
-        of_hot = found.where(f"ext = {HASHED}").unionByName(with_text.mapInArrow(_fetch(True), ROWS_SQL)).select("h", "c", "doc_id", "at")
-        of_hot = materialize(of_hot, "windows")
+        of_hot = materialize(found.where(f"ext = {HASHED}").unionByName(with_text.mapInArrow(_fetch(True), ROWS_SQL)), "windows")
+        spans = spans.unionByName(of_hot.where(f"ext = {SPAN}").select("doc_id", F.col("at").alias("start"), F.col("c").alias("end")))
+        of_hot = of_hot.where(f"ext = {HASHED}").select("h", "c", "doc_id", "at")
         first = of_hot.groupBy("h", "c").agg(F.min(F.struct("doc_id", "at")).alias("first"))
         later = of_hot.join(first, ["h", "c"]).where(F.struct("doc_id", "at") > F.col("first"))
         spans = spans.unionByName(later.select("doc_id", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end")))
