@@ -115,7 +115,8 @@ def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """digest() of docs(doc_id, text)."""
-    return digest(findings(docs, update(docs, ledger, rules), rules), rules)
+    # the ledger as a table: then a content that very many paths have can be split where its findings are joined back
+    return digest(findings(docs, materialize(update(docs, ledger, rules), "ledger"), rules), rules)
 
 
 def redact(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
