@@ -9,9 +9,9 @@ threshold; groups are the connected components of the links.
 3. In each bucket of a band, every document is paired with the smallest one. Pairs whose sketches are too far apart for the
    threshold are dropped; the others are confirmed on the full sets, the nearest of each document first, and further
    ones only where they'd join two components.
-4. In buckets that still hold several components, all other pairs across components are compared by sketch, in blocks of bounded size, and those near
-   enough confirmed too. Pairs within a component can't change the result. So no link between documents that share a bucket is lost, and no
-   pairs are emitted but those whose sketches are near.
+4. In buckets that still hold several components, all other pairs across components are compared by sketch, in blocks of bounded size. Documents that
+   have a near sketch in another component of their block are compared there on the full sets, all at once; a star of links for each component
+   found is all that leaves the block. Pairs within a component can't change the result, so no link between documents that share a bucket is lost.
 
 With BANDS bands of ROWS samples a pair at similarity 0.8 shares no bucket with probability (1 - 0.8 ** 5) ** 32 = 3e-6. The
 sketch limit lies six standard deviations beyond the threshold.
@@ -31,14 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import components, materialize, prepare
+from loomgraph.llm.egojoin import smallest_reachable
 from loomgraph.llm.suffixdedup import Hashed, mix
 
 BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
 BITS = 1024
 SEGMENT = 1 << 18
-#: Documents of one bucket compared in one task.
-BLOCK = 512
+#: About this many documents of one bucket are compared with as many at a time.
+BLOCK = 256
 #: Ids up to this number are broadcast (16 bytes each); more are joined by a shuffle.
 SMALL = 20_000
 
@@ -161,40 +162,96 @@ def _confirm(width: int, percent: int):
     return run
 
 
-def _across(limit: int):
-    """Rows (key, a, b, side, doc_id, component, sketch) sorted by (key, a, b): pairs across components with near sketches."""
-
-    def pairs(rows: list[tuple]) -> tuple[list, list]:
-        side = np.array([r[3] for r in rows])
-        doc, comp = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
-        sketch = np.array([r[6] for r in rows], dtype=np.int64).view(np.uint64)
-        left = np.flatnonzero(side != 1)
-        right = np.flatnonzero(side != 0)
-        us, vs = [], []
-        for i in left.tolist():
-            j = right[(comp[right] != comp[i])]
-            if rows[0][1] == rows[0][2]:
-                j = j[j > i]
-            if len(j):
-                near = j[np.bitwise_count(sketch[j] ^ sketch[i]).sum(1) <= limit]
-                us += np.minimum(doc[near], doc[i]).tolist()
-                vs += np.maximum(doc[near], doc[i]).tolist()
-        return us, vs
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows that agree in their first three columns, of sorted batches."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if held and row[:3] != held[0][:3]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _sides(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the left and right documents of a pair of blocks (the same ones if it is one block with itself), and which of their pairs are of two components."""
+    side, comp = np.array([r[3] for r in rows]), np.array([r[5] for r in rows])
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    return left, right, comp[left][:, None] != comp[right][None, :]
+
+
+def _flag(limit: int):
+    """Rows (key, a, b, side, doc_id, component, sketch, bands, band) sorted by (key, a, b): those that have a near sketch in another component.
+
+    Two documents that share an earlier band's bucket are left to that one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in batches:
-            us, vs = [], []
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if held and row[:3] != held[0][:3]:
-                    x, y = pairs(held)
-                    us, vs, held = us + x, vs + y, []
-                held.append(row)
-            if us:
-                yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
-        if held:
-            us, vs = pairs(held)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+        for rows in _groups(batches):
+            left, right, apart = _sides(rows)
+            if not apart.any():
+                continue
+            sketch = np.array([r[6] for r in rows], dtype=np.int64).view(np.uint64)
+            z = np.zeros(apart.shape, dtype=np.uint16)
+            for k in range(sketch.shape[1]):
+                z += np.bitwise_count(sketch[left, k][:, None] ^ sketch[right, k][None, :])
+            near = apart & (z <= limit)
+            if near.any():
+                bands = np.array([r[7] for r in rows], dtype=np.int64)
+                for k in range(rows[0][8]):
+                    near &= bands[left, k][:, None] != bands[right, k][None, :]
+            at = np.union1d(left[near.any(1)], right[near.any(0)])
+            if len(at):
+                cols = list(zip(*[rows[i][:6] for i in at.tolist()], strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=FLAGS.replace(" long", "").split(", "))
+
+    return run
+
+
+FLAGS = "key long, a long, b long, side long, doc_id long, component long"
+#: Shingles counted at a time where sets are intersected.
+COLUMNS = 4096
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of sets with sets, as products of incidence matrices over the shingles on both sides, a few columns at a time."""
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    flat = lambda sets: (np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+    (x, i), (y, j) = flat(left), flat(right)
+    shared = np.intersect1d(x, y)
+    for lo in range(0, len(shared), COLUMNS):
+        part = shared[lo : lo + COLUMNS]
+        sides = []
+        for h, row, n in ((x, i, len(left)), (y, j, len(right))):
+            at = np.minimum(np.searchsorted(part, h), len(part) - 1)
+            on = part[at] == h
+            m = np.zeros((n, len(part)), dtype=np.float32)
+            m[row[on], at[on]] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _link_blocks(width: int, percent: int):
+    """Rows (key, a, b, side, doc_id, component, text) sorted by (key, a, b): a star of links for each component that similar pairs across given components form."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            left, right, apart = _sides(rows)
+            if not apart.any():
+                continue
+            sets = shingle_sets([(r[6] or "").encode() for r in rows], width)
+            both = intersections([sets[i] for i in left], [sets[i] for i in right])
+            size = np.array([len(s) for s in sets])
+            i, j = np.nonzero(apart & (100 * both >= percent * (size[left][:, None] + size[right][None, :] - both)))
+            if not len(i):
+                continue
+            doc = np.array([r[4] for r in rows])
+            root = smallest_reachable(left[i], right[j], doc)
+            at = np.flatnonzero(root != doc)
+            yield pa.RecordBatch.from_arrays([pa.array(root[at]), pa.array(doc[at])], names=["u", "v"])
 
     return run
 
@@ -210,17 +267,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     reps = profile.where("n > 0").join(classes.select(F.col("rep").alias("doc_id"), "g1", "g2", "n"), ["doc_id", "g1", "g2", "n"], "left_semi")
     reps = materialize(reps.select("doc_id", "bands", "sketch"), "reps")
     sketches = reps.select("doc_id", "sketch")
-    buckets = reps.select("doc_id", F.explode("bands").alias("key"))
+    buckets = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     shared = materialize(buckets.groupBy("key").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last"), F.count("*").alias("size")).where("u < last").drop("last"), "buckets")
-    in_shared = materialize(buckets.join(shared, "key"), "members")  # (key, doc_id, u, size)
+    in_shared = materialize(buckets.join(shared, "key"), "members")  # (key, doc_id, band, u, size)
 
     def near(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(sketches.select(F.col("doc_id").alias("u"), F.col("sketch").alias("a")), "u").join(sketches.select(F.col("doc_id").alias("v"), F.col("sketch").alias("b")), "v")
         z = sum((F.bit_count(F.get("a", F.lit(i)).bitwiseXOR(F.get("b", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
         return joined.select("u", "v", z.alias("z")).where(F.col("z") <= limit)
 
-    def texts_of(pairs: DataFrame, label: str) -> DataFrame:
-        ids = materialize(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct(), "ids")
+    def texts_of(ids: DataFrame, label: str) -> DataFrame:
+        ids = materialize(ids.distinct(), "ids")
         few = len(ids.limit(SMALL + 1).collect()) <= SMALL
         return materialize(texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), label)
 
@@ -237,7 +294,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         return joined.where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).drop("cu", "cv")
 
     stars = materialize(near(in_shared.where("doc_id <> u").select("u", F.col("doc_id").alias("v")).distinct()), "stars")
-    of = texts_of(stars, "texts")
+    of = texts_of(stars.select(F.col("u").alias("doc_id")).unionByName(stars.select(F.col("v").alias("doc_id"))), "texts")
     best = stars.groupBy("v").agg(F.min(F.struct("z", "u")).alias("m")).select("m.u", "v")
     links = confirmed(best, of)
     comps = materialize(components(links), "components")
@@ -249,15 +306,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # buckets that hold several components: all pairs across, in blocks
     own = in_shared.where("size > 2").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    own = own.join(mixed, "key", "left_semi").join(sketches, "doc_id")
+    own = own.join(mixed, "key", "left_semi").join(reps, "doc_id")
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     own = own.withColumn("s", F.pmod(F.xxhash64("doc_id"), blocks)).withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    spread = own.select("key", F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"), F.when(F.col("s") == F.col("t"), 2).when(F.col("s") < F.col("t"), 0).otherwise(1).alias("side"), "doc_id", "component", "sketch")
+    spread = own.select("key", F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"), F.when(F.col("s") == F.col("t"), 2).when(F.col("s") < F.col("t"), 0).otherwise(1).cast("long").alias("side"), "doc_id", "component", "sketch", "bands", "band")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    across = spread.repartition(parts, "key", "a", "b").sortWithinPartitions("key", "a", "b").mapInArrow(_across(limit), "u long, v long").distinct()
-    across = materialize(across.join(stars.select("u", "v"), ["u", "v"], "left_anti"), "across")
-    if not across.isEmpty():
-        last = confirmed(across, texts_of(across, "texts"))
+    in_blocks = lambda df: df.repartition(parts, "key", "a", "b").sortWithinPartitions("key", "a", "b")
+    flagged = materialize(in_blocks(spread).mapInArrow(_flag(limit), FLAGS), "flagged")
+    if not flagged.isEmpty():
+        of = texts_of(flagged.select("doc_id"), "texts")
+        last = in_blocks(flagged.join(of, "doc_id").select("key", "a", "b", "side", "doc_id", "component", "text"))
+        last = materialize(last.mapInArrow(_link_blocks(width, percent), "u long, v long"), "links")
         comps = materialize(components(links.unionByName(last)), "components")
 
     ids = profile.select("doc_id", "n", "g1", "g2").join(classes, ["g1", "g2", "n"], "left")
