@@ -30,20 +30,28 @@ BLOCK, LEAF = 1024, 256
 SLACK = 1e-9
 
 
-def principal_axes(units: DataFrame, d: int) -> np.ndarray:
-    """The leading axes of the covariance of all units(x), as columns. Each task sends d * (d + 3) / 2 sums."""
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length 1. They are scaled by their largest component first, so that squares neither overflow nor vanish."""
+    if not len(x):
+        return x
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
+def principal_axes(vectors: DataFrame, d: int) -> np.ndarray:
+    """The leading axes of the covariance of all vectors(x) at length 1, as columns. Each task sends d * (d + 3) / 2 sums."""
     upper = np.triu_indices(d)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, outer, n = np.zeros(d), np.zeros((d, d)), 0
         for batch in batches:
-            x = matrix(batch.column(0), batch.num_rows)
+            x = unit(matrix(batch.column(0), batch.num_rows))
             if len(x):
                 total, outer, n = total + x.sum(0), outer + x.T @ x, n + len(x)
         values = np.concatenate([[n], total, outer[upper]])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int64()), pa.array(values)], names=["i", "value"])
 
-    got = dict(units.select("x").mapInArrow(run, "i long, value double").groupBy("i").agg(F.sum("value")).collect())
+    got = dict(vectors.select("x").mapInArrow(run, "i long, value double").groupBy("i").agg(F.sum("value")).collect())
     n = max(got[0], 1.0)
     mean = np.array([got[1 + i] for i in range(d)]) / n
     cov = np.zeros((d, d))
@@ -60,39 +68,78 @@ def _cells(axes: np.ndarray, epsilon: float):
             x = matrix(batch.column(1), batch.num_rows)
             if not len(x):
                 continue
-            cell = np.floor(x @ axes[:, :k] / epsilon).astype(np.int64)
+            cell = np.floor(unit(x) @ axes[:, :k] / epsilon).astype(np.int64)
             cell = np.pad(cell, ((0, 0), (0, CELLS - k)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(cell[:, i]) for i in range(CELLS)]], names=["vec_id", "x", *[f"c{i}" for i in range(CELLS)]])
 
     return run
 
 
-def _blocks(axes: np.ndarray, size: int):
-    schema = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("x", pa.binary()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))])
+BLOCKS = "block long, ids binary, x binary, lo array<double>, hi array<double>"
+
+
+class Sequence:
+    """Gathers vectors in order and gives them out as rows of BLOCKS of a fixed size. Vectors that single precision holds exactly are kept so."""
+
+    def __init__(self, axes: np.ndarray, size: int, block: int):
+        self.axes, self.size, self.block = axes, size, block
+        self.ids: list[np.ndarray] = []
+        self.xs: list[np.ndarray] = []
+        self.n = 0
+
+    def add(self, ids: np.ndarray, x: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.ids.append(ids)
+        self.xs.append(x)
+        self.n += len(ids)
+        while self.n >= self.size:
+            yield self.close()
+
+    def close(self) -> pa.RecordBatch:
+        i, x = np.concatenate(self.ids), np.concatenate(self.xs)
+        own = x[: self.size]
+        p = unit(own) @ self.axes
+        short = own.astype(np.float32)
+        raw = short if (short == own).all() else own
+        row = [[self.block], [i[: self.size].tobytes()], [raw.tobytes()], [p.min(0)], [p.max(0)]]
+        self.block, self.ids, self.xs, self.n = self.block + 1, [i[self.size :]], [x[self.size :]], max(self.n - self.size, 0)
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, kinds, strict=True)], names=["block", "ids", "x", "lo", "hi"])
+
+
+def unpack(ids: bytes, x: bytes, d: int) -> tuple[np.ndarray, np.ndarray]:
+    i = np.frombuffer(ids, dtype=np.int64)
+    kind = np.float32 if len(x) == 4 * len(i) * d else np.float64
+    return i, np.frombuffer(x, dtype=kind).reshape(len(i), d).astype(np.float64)
 
+
+def _blocks(axes: np.ndarray, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        block = TaskContext.get().partitionId() << 32
-        ids, xs, n = [], [], 0
+        sequence = Sequence(axes, size, TaskContext.get().partitionId() << 32)
+        for batch in batches:
+            if batch.num_rows:
+                yield from sequence.add(batch.column(0).to_numpy(), matrix(batch.column(1), batch.num_rows))
+        if sequence.n:
+            yield sequence.close()
 
-        def close() -> pa.RecordBatch:
-            nonlocal block, ids, xs, n
-            i, x = np.concatenate(ids), np.concatenate(xs)
-            p = x[:size] @ axes
-            row = [[block], [i[:size].tobytes()], [x[:size].tobytes()], [p.min(0)], [p.max(0)]]
-            block, ids, xs, n = block + 1, [i[size:]], [x[size:]], max(n - size, 0)
-            return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(row, schema, strict=True)], schema=schema)
+    return run
 
+
+def _merge_blocks(axes: np.ndarray, size: int, d: int):
+    """Rows (group, block, ids, x) sorted by group and block: the blocks of each group laid end to end and cut anew."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, sequence = None, None
         for batch in batches:
-            if batch.num_rows:
-                ids.append(batch.column(0).to_numpy())
-                xs.append(matrix(batch.column(1), batch.num_rows))
-                n += batch.num_rows
-            while n >= size:
-                yield close()
-        if n:
-            yield close()
+            for g, block, ids, x in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if g != group:
+                    if sequence is not None and sequence.n:
+                        yield sequence.close()
+                    group, sequence = g, Sequence(axes, size, block)
+                yield from sequence.add(*unpack(ids, x, d))
+        if sequence is not None and sequence.n:
+            yield sequence.close()
 
     return run
 
@@ -143,8 +190,9 @@ def _join(axes: np.ndarray, d: int, cosine: float, epsilon: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, ids_a, x, ids_b, y in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                ids_a, ids_b = np.frombuffer(ids_a, dtype=np.int64), np.frombuffer(ids_b, dtype=np.int64)
-                x, y = np.frombuffer(x).reshape(-1, d), np.frombuffer(y).reshape(-1, d)
+                ids_a, x = unpack(ids_a, x, d)
+                ids_b, y = unpack(ids_b, y, d)
+                x, y = unit(x), unit(y)
                 i, j = join_intervals(x, y, x @ axes, y @ axes, cosine, epsilon, a == b)
                 if not len(i):
                     continue
@@ -164,21 +212,22 @@ def near_duplicates(table: DataFrame, cosine: float = 0.95) -> DataFrame:
     prepare(spark)
     epsilon = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     every = table.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
-    # huge or tiny components are scaled first, so that their squares neither overflow nor vanish
-    most = F.array_max(F.transform("x", lambda v: F.abs(v)))
-    scaled = usable(table).withColumn("m", most).where("m > 0").select("vec_id", F.transform("x", lambda v: v / F.col("m")).alias("x"))
-    units = materialize(scaled.withColumn("r", norm).select("vec_id", F.transform("x", lambda v: v / F.col("r")).alias("x")), "units")
-    first = units.select(F.size("x").alias("d")).first()
+    vectors = materialize(usable(table).where(F.exists("x", lambda v: v != 0)), "vectors")
+    first = vectors.select(F.size("x").alias("d")).first()
     if first is None:
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     d = first["d"]
-    axes = principal_axes(units, d)
-    cells = units.mapInArrow(_cells(axes, epsilon), "vec_id long, x array<double>, " + ", ".join(f"c{i} long" for i in range(CELLS)))
+    axes = principal_axes(vectors, d)
+    cells = vectors.mapInArrow(_cells(axes, epsilon), "vec_id long, x array<double>, " + ", ".join(f"c{i} long" for i in range(CELLS)))
     keys = [f"c{i}" for i in range(CELLS)] + ["vec_id"]  # the id spreads a cell of very many vectors over partitions
-    parts = max(1, -(-units.count() // BLOCK) // 2)
-    sequence = cells.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("vec_id", "x")
-    blocks = materialize(sequence.mapInArrow(_blocks(axes, BLOCK), "block long, ids binary, x binary, lo array<double>, hi array<double>"), "blocks")
+    wanted = -(-vectors.count() // BLOCK)
+    sequence = cells.repartitionByRange(max(1, wanted // 2), *keys).sortWithinPartitions(*keys).select("vec_id", "x")
+    blocks = materialize(sequence.mapInArrow(_blocks(axes, BLOCK), BLOCKS), "blocks")
+    found = blocks.count()
+    if found > 2 * wanted + 1:  # more partitions than it takes: neighbouring parts of blocks are laid together
+        group = F.floor(F.shiftright("block", 32) / F.lit(found / wanted)).cast("long").alias("group")
+        short = blocks.select(group, "block", "ids", "x").repartition("group").sortWithinPartitions("group", "block")
+        blocks = materialize(short.mapInArrow(_merge_blocks(axes, BLOCK, d), BLOCKS), "blocks")
 
     boxes = blocks.select("block", "lo", "hi")
     cell = lambda c, by=0: (F.floor(F.get(c, F.lit(0)) / epsilon) + by).cast("long")
