@@ -109,31 +109,22 @@ def integers(x: np.ndarray, scale: int = SCALE) -> np.ndarray:
     return np.clip(np.floor(scale * x), -LARGEST, LARGEST)
 
 
-def _portions(size: int, scale: int):
-    """Rows (id, ids, x) of at most so many vectors; id counts within the partition."""
+def _portions(scale: int):
+    """A row (part, ids, x) of all vectors of a partition, part being its number. Partitions are dealt evenly, so their number bounds their size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId() << 32
-        ids, xs, n = [], [], 0
-
-        def close() -> pa.RecordBatch:
-            nonlocal part, ids, xs, n
-            i, x = np.concatenate(ids), np.concatenate(xs)
-            out = pa.RecordBatch.from_arrays([pa.array([part]), pa.array([i[:size].tobytes()], pa.binary()), pa.array([x[:size].astype(np.int64).astype("<i4" if np.abs(x).max(initial=0) < LARGEST else "<i8").tobytes()], pa.binary())], names=["part", "ids", "x"])
-            part, ids, xs, n = part + 1, [i[size:]], [x[size:]], max(0, n - size)
-            return out
-
+        ids, xs = [], []
         for batch in batches:
             if batch.num_rows:
                 ids.append(batch.column(0).to_numpy())
                 xs.append(integers(matrix(batch.column(1), batch.num_rows), scale))
-                n += batch.num_rows
-            while n >= size:
-                yield close()
-        if n:
-            yield close()
+        if ids:
+            x = np.concatenate(xs)
+            raw = x.astype("<i4" if np.abs(x).max(initial=0) < LARGEST else "<i8").tobytes()
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([np.concatenate(ids).tobytes()], pa.binary()), pa.array([raw], pa.binary())], names=["part", "ids", "x"])
 
     return run
 
@@ -175,15 +166,15 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE) ->
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     d, n, wanted = first["d"], rows.count(), rows.where(is_query)
     portions = "part long, ids binary, x binary"
-    shards = rows.repartition(max(1, -(-n // SHARD))).mapInArrow(_portions(SHARD, scale), portions)
+    count = max(1, -(-n // SHARD))
+    shards = rows.repartition(count).mapInArrow(_portions(scale), portions)
     shards = materialize(shards.select(F.col("part").alias("shard"), "ids", F.col("x")), "shards")
-    blocks = wanted.repartition(max(1, -(-wanted.count() // QUERIES))).mapInArrow(_portions(QUERIES, scale), portions)
+    blocks = wanted.repartition(max(1, -(-wanted.count() // QUERIES))).mapInArrow(_portions(scale), portions)
     blocks = materialize(blocks.select(F.col("part").alias("block"), F.col("ids").alias("q_ids"), F.col("x").alias("q_x")), "queries")
     # each block of queries meets each shard once: first a home shard, then the others with what is known by then
-    numbers = shards.select("shard").orderBy("shard")
-    pairs = blocks.select("block").join(F.broadcast(numbers.agg(F.collect_list("shard").alias("all"))))  # 8 bytes for SHARD vectors
-    home = F.get("all", (F.pmod(F.xxhash64("block"), F.size("all"))).cast("int"))
-    pairs = materialize(pairs.select("block", home.alias("home"), F.explode("all").alias("shard")), "pairs")
+    home = F.pmod(F.xxhash64("block"), F.lit(count)).cast("long")
+    pairs = blocks.select("block", home.alias("home"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))).alias("shard"))
+    pairs = materialize(pairs, "pairs")
     columns = ["shard", "ids", "x", "q_ids", "q_x", "least"]
     none = F.lit(None).cast("array<struct<query_id:long,least:long>>").alias("least")
     one = pairs.where("shard = home").join(blocks, "block").join(shards, "shard").withColumn("least", none).select(columns)

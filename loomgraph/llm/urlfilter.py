@@ -65,7 +65,7 @@ def grams_of(host: str, path: str) -> list[int]:
 
 
 @cache
-def fit(labels: tuple[tuple[str, int], ...], rounds: int = 300, rate: float = 20.0, decay: float = 1e-4) -> tuple[tuple[int, ...], int]:
+def fit(labels: tuple[tuple[str, int], ...], rounds: int = 400, rate: float = 60.0, decay: float = 1e-5) -> tuple[tuple[int, ...], int]:
     """Weights and bias, times SCALE, by full-batch gradient descent on the share of each bucket among a URL's n-grams."""
     if len(labels) > MOST_LABELS:
         raise ValueError(f"more than {MOST_LABELS} labelled URLs")
