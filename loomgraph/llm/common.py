@@ -47,7 +47,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomgraph/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._loomgraph_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialized table that nothing will read any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._loomgraph_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -69,7 +78,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # small star: every smaller neighbour of u, and u, point to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        e = materialize(small.where("u <> v").distinct(), "edges")
+        old, e = e, materialize(small.where("u <> v").distinct(), "edges")
+        discard(old)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break

@@ -30,6 +30,8 @@ LEAST_SHARE = 0.02
 #: The model is broadcast: 16 KB a language.
 MOST_LANGUAGES = 1024
 SMOOTHING = 0.5
+#: Bytes of text hashed at a time.
+SLICE = 1 << 20
 UNKNOWN = "und"
 
 _TO = np.full(256, 32, dtype=np.uint8)
@@ -42,28 +44,38 @@ def histogram(texts: pa.Array) -> np.ndarray:
     """Counts of the hashed trigrams of each text, centred at every letter byte; a null text has none."""
     texts = pa.concat_arrays([texts.cast(pa.large_string())])  # offset 0
     n = len(texts)
+    out = np.zeros(n * FEATURES, dtype=np.float32)
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[: n + 1] if n else np.zeros(1, np.int64)
-    data = texts.buffers()[2] if n else None
     size = int(offsets[-1])
     if not size:
-        return np.zeros((n, FEATURES), dtype=np.float32)
-    raw = np.frombuffer(data, dtype=np.uint8)[:size]
-    b = _TO[raw]
-    upper = (b[1:] >= 0x80) & (b[1:] <= 0x9E) & (b[:-1] == 0xC3)  # capitals of Latin-1
-    b[1:] += upper.astype(np.uint8) << 5
-    before, after = np.empty_like(b), np.empty_like(b)
-    before[1:], after[:-1] = b[:-1], b[1:]
-    lengths = np.diff(offsets)
-    before[offsets[:-1][lengths > 0]] = 32
-    after[offsets[1:][lengths > 0] - 1] = 32
-    h = before.astype(np.uint32) << 16
-    h |= b.astype(np.uint32) << 8
-    h |= after
-    h *= np.uint32(2654435761)
-    h >>= np.uint32(20)
-    doc = np.repeat(np.arange(n, dtype=np.int64) * FEATURES, lengths)
-    at = (doc + h)[b != 32]
-    return np.bincount(at, minlength=n * FEATURES).astype(np.float32).reshape(n, FEATURES)
+        return out.reshape(n, FEATURES)
+    raw = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[:size]
+    edges = np.zeros(size + 1, dtype=bool)  # where a text begins
+    edges[offsets] = True
+    for lo in range(0, size, SLICE):  # long texts in slices, each with a byte more at both ends
+        hi = min(lo + SLICE, size)
+        a, z = max(lo - 2, 0), min(hi + 1, size)
+        b = _TO[raw[a:z]]
+        upper = (b[1:] >= 0x80) & (b[1:] <= 0x9E) & (b[:-1] == 0xC3)  # capitals of Latin-1
+        b[1:] += upper.astype(np.uint8) << 5
+        before, after = np.full(len(b), 32, dtype=np.uint8), np.full(len(b), 32, dtype=np.uint8)
+        before[1:], after[:-1] = b[:-1], b[1:]
+        before[edges[a:z]] = 32
+        after[edges[a + 1 : z + 1]] = 32
+        own = slice(lo - a, hi - a)
+        b, before, after = b[own], before[own], after[own]
+        h = before.astype(np.uint32) << 16
+        h |= b.astype(np.uint32) << 8
+        h |= after
+        h *= np.uint32(2654435761)
+        h >>= np.uint32(20)
+        first = int(np.searchsorted(offsets, lo, side="right")) - 1
+        last = int(np.searchsorted(offsets, hi, side="left"))
+        lengths = np.diff(np.clip(offsets[first : last + 1], lo, hi))
+        doc = np.repeat(np.arange(last - first, dtype=np.int64) * FEATURES, lengths)
+        counts = np.bincount((doc + h)[b != 32], minlength=(last - first) * FEATURES)
+        out[first * FEATURES : last * FEATURES] += counts
+    return out.reshape(n, FEATURES)
 
 
 def mixture(counts: np.ndarray, p: np.ndarray, shares: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:

@@ -22,8 +22,10 @@ are one node of the graph and give a result each. Tables without rows give none.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,7 @@ BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
 BITS = 1024
 SEGMENT = 1 << 18
+LONG_WORD = 1 << 16
 #: About this many documents of one bucket are compared with as many at a time.
 BLOCK = 256
 #: Ids up to this number are broadcast (16 bytes each); more are joined by a shuffle.
@@ -54,14 +57,29 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def word_hashes(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Hashes of the words data[lo:hi], a bounded span of data at a time. Words beyond LONG_WORD bytes are hashed one by one."""
+    out = np.empty(len(lo), dtype=np.uint64)
+    i = 0
+    while i < len(lo):
+        j = max(i + 1, int(np.searchsorted(hi, lo[i] + 4 * SEGMENT, side="right")))
+        if hi[j - 1] - lo[i] <= max(4 * SEGMENT, LONG_WORD):
+            hashed = Hashed(data[lo[i] : hi[j - 1]])
+            a, b = lo[i:j] - lo[i], hi[i:j] - lo[i]
+            out[i:j] = mix(hashed.raw(0, a, b)) + mix(hashed.raw(1, a, b)) * np.uint64(3)
+        i = j
+    for i in np.flatnonzero(hi - lo > LONG_WORD).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[lo[i] : hi[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)]
-    hashed = Hashed(data)
     word = ~_SPACE[data]
     edge = np.diff(word.astype(np.int8), prepend=np.int8(0))
     lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    w = mix(hashed.raw(0, lo, hi)) + mix(hashed.raw(1, lo, hi)) * np.uint64(3)
+    w = word_hashes(data, lo, hi)
     ends = np.cumsum([len(t) + 1 for t in texts])
     cut = np.searchsorted(lo, ends).tolist()
     n = max(len(w) - width + 1, 0)
@@ -278,7 +296,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     def texts_of(ids: DataFrame, label: str) -> DataFrame:
         ids = materialize(ids.distinct(), "ids")
-        few = len(ids.limit(SMALL + 1).collect()) <= SMALL
+        few = ids.limit(SMALL + 1).count() <= SMALL
         return materialize(texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), label)
 
     def confirmed(pairs: DataFrame, of: DataFrame) -> DataFrame:
@@ -299,13 +317,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = confirmed(best, of)
     comps = materialize(components(links), "components")
     more = confirmed(apart(stars.join(best, ["u", "v"], "left_anti"), comps), of)
-    links = links.unionByName(more)
-    if not more.isEmpty():
-        comps = materialize(components(links), "components")
+    found = [] if more.isEmpty() else [more]
 
     # buckets that hold several components: all pairs across, in blocks
     own = in_shared.where("size > 2").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    mixed = materialize(mixed, "mixed")  # a table, so that a bucket of very many documents can be split in the join
     own = own.join(mixed, "key", "left_semi").join(reps, "doc_id")
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     own = own.withColumn("s", F.pmod(F.xxhash64("doc_id"), blocks)).withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -316,13 +333,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     if not flagged.isEmpty():
         of = texts_of(flagged.select("doc_id"), "texts")
         last = in_blocks(flagged.join(of, "doc_id").select("key", "a", "b", "side", "doc_id", "component", "text"))
-        last = materialize(last.mapInArrow(_link_blocks(width, percent), "u long, v long"), "links")
-        comps = materialize(components(links.unionByName(last)), "components")
+        found.append(materialize(last.mapInArrow(_link_blocks(width, percent), "u long, v long"), "links"))
+    if found:
+        comps = materialize(components(reduce(DataFrame.unionByName, found, links)), "components")
 
     ids = profile.select("doc_id", "n", "g1", "g2").join(classes, ["g1", "g2", "n"], "left")
-    found = ids.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    grouped = ids.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return grouped.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -31,8 +31,10 @@ from loomgraph.llm.common import materialize, prepare
 LENGTH = 100
 GRAM = 37
 WINDOW = LENGTH - GRAM + 1  # 64 anchors to choose from
-#: Bytes of text hashed at a time, and rows of a task whose classes are formed at a time.
-SEGMENT, TABLE = 1 << 18, 1 << 20
+#: Bytes of text hashed at a time, and anchors of a task whose classes are formed at a time (about 250 bytes each while they are).
+SEGMENT, TABLE = 1 << 18, 1 << 19
+#: Windows of one text hashed at a time.
+SLICE = 1 << 20
 #: Classes of one anchor hash in one task beyond which its windows are grouped by their own hashes.
 HOT = 64
 #: Hot anchors whose windows a task holds at once.
@@ -160,7 +162,7 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     count = 0
 
-    def segment(ids: list[int], texts: list[bytes]) -> tuple | None:
+    def segment(ids: list[int], shifts: list[int], texts: list[bytes]) -> tuple | None:
         data = np.frombuffer(b"".join(texts), dtype=np.uint8)
         ends = np.cumsum([len(t) for t in texts])
         pos, lo, hi, h, hashed = anchors(data, ends)
@@ -168,7 +170,7 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return None
         c = contexts(hashed, pos, lo, hi)
         which = np.searchsorted(ends, lo, side="right")
-        base = np.concatenate([[0], ends[:-1]])[which]
+        base = np.concatenate([[0], ends[:-1]])[which] - np.array(shifts, dtype=np.int64)[which]
         # hot anchors need their windows' own hashes: kept by reference until the task's classes are known
         return h, c, np.array(ids, dtype=np.int64)[which], pos - base, lo - base, hi - base, base, data
 
@@ -203,27 +205,28 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from first_windows(*(np.concatenate(x) for x in zip(*found, strict=True)))
         held.clear()
 
-    ids, texts, size = [], [], 0
+    ids, shifts, texts, size = [], [], [], 0
 
     def close() -> None:
-        nonlocal ids, texts, size, count
-        if texts and (got := segment(ids, texts)) is not None:
+        nonlocal ids, shifts, texts, size, count
+        if texts and (got := segment(ids, shifts, texts)) is not None:
             held.append(got)
             count += len(got[0])
-        ids, texts, size = [], [], 0
+        ids, shifts, texts, size = [], [], [], 0
 
     for batch in batches:
         for i, t in zip(batch.column(0).to_pylist(), texts_of(batch, 1), strict=True):
-            if len(t) < LENGTH:
-                continue
-            ids.append(i)
-            texts.append(t)
-            size += len(t)
-            if size >= SEGMENT:
-                close()
-                if count >= TABLE:
-                    yield from flush()
-                    count = 0
+            # long texts in slices that share all but one byte of a window; an anchor at a seam then has two contexts, each with its own windows
+            for lo in range(0, len(t) - LENGTH + 1, SLICE):
+                ids.append(i)
+                shifts.append(lo)
+                texts.append(t[lo : lo + SLICE + LENGTH - 1])
+                size += len(texts[-1])
+                if size >= SEGMENT:
+                    close()
+                    if count >= TABLE:
+                        yield from flush()
+                        count = 0
     close()
     if held:
         yield from flush()
@@ -442,11 +445,12 @@ def _fetch(hot: bool):
             out: list[tuple] = []
             for i, t, wanted in zip(batch.column(0).to_pylist(), texts_of(batch, 1), batch.column(2).to_pylist(), strict=True):
                 own = [(w["h"], w["at"], w["ext"]) for w in wanted if bool(w["c"]) == hot]
-                if hot and own:
-                    at, ext = np.array([w[1] for w in own]), np.array([w[2] for w in own])
-                    lo = at - (ext >> 8)
-                    yield from first_windows(*windows(Hashed(np.frombuffer(t, dtype=np.uint8)), np.full(len(own), i), lo, lo + (ext & 255), np.zeros(len(own), dtype=np.int64)))
-                elif not hot:
+                if hot:
+                    for _, at, ext in own:
+                        lo = at - (ext >> 8)
+                        hashed = Hashed(np.frombuffer(t[lo : lo + (ext & 255) + LENGTH], dtype=np.uint8))
+                        yield from first_windows(*windows(hashed, np.array([i]), np.array([lo]), np.array([lo + (ext & 255)]), np.array([-lo])))
+                else:
                     for h, at, ext in own:
                         lo = at - (ext >> 8)
                         out.append((h, i, at, ext, t[lo : lo + (ext & 255) + LENGTH]))
