@@ -3,7 +3,7 @@
 Every partition keeps a fixed number of open windows. A document's tokens first fill whole windows of their own; its
 remainder goes to the open window that it fits most tightly. Where it fits none and no further window may be opened, the fullest window is topped
 up with the head of the remainder (if its gap is worth a cut) and emitted. Windows still open at a partition's end are
-leftovers; they are merged in a tree of bounded fan-in, so that no task sees more than FAN_IN * OPEN_WINDOWS windows.
+leftovers; their pieces are packed anew in a tree of bounded fan-in, so that no task sees more than FAN_IN * OPEN_WINDOWS windows.
 
 Null or empty texts become the separator alone. Tables without rows give no rows. Repeated rows are packed once each.
 Columns other than doc_id and text are ignored, whatever their names.
@@ -91,7 +91,7 @@ class Windows:
     def __init__(self, first_id: int, size: int, most_open: int, least_cut: int):
         self.size, self.most_open, self.least_cut = size, most_open, least_cut
         self.next_id = first_id
-        self.open: list[list] = []  # [used, sequence id, pieces]
+        self.open: list[list] = []  # [used, sequence id, pieces as (doc_id, start, ids, doc_tokens, offset)]
         self.rows: list[tuple] = []
 
     def start(self) -> list:
@@ -99,27 +99,29 @@ class Windows:
         self.next_id += 1
         return w
 
-    def put(self, w: list, doc_id, ids: np.ndarray, start: int, length: int) -> None:
-        crc = zlib.crc32(ids[start : start + length].tobytes())
-        w[2].append((doc_id, start, length, crc, len(ids), w[1], w[0], False))
-        w[0] += length
+    def put(self, w: list, doc_id, start: int, ids: np.ndarray, total: int) -> None:
+        w[2].append((doc_id, start, ids, total, w[0]))
+        w[0] += len(ids)
 
-    def emit(self, w: list) -> None:
-        self.rows += w[2]
+    def emit(self, w: list, leftover: bool = False) -> None:
+        for doc_id, start, ids, total, offset in w[2]:
+            raw = ids.tobytes()
+            self.rows.append((doc_id, start, len(ids), zlib.crc32(raw), total, w[1], offset, raw if leftover else None))
 
-    def add(self, doc_id, ids: np.ndarray) -> None:
-        at, n = 0, len(ids)
+    def add(self, doc_id, ids: np.ndarray, start: int = 0, total: int | None = None) -> None:
+        """Place the tokens of a document from start on; total: how many it has in all."""
+        at, n, total = 0, len(ids), len(ids) if total is None else total
         while n - at >= self.size:
             w = self.start()
-            self.put(w, doc_id, ids, at, self.size)
+            self.put(w, doc_id, start + at, ids[at : at + self.size], total)
             self.emit(w)
             at += self.size
         while at < n:
-            need = n - at
-            fits = [w for w in self.open if self.size - w[0] >= need]
+            rest = ids[at:]
+            fits = [w for w in self.open if self.size - w[0] >= len(rest)]
             if fits:
                 w = max(fits, key=lambda x: x[0])
-                self.put(w, doc_id, ids, at, need)
+                self.put(w, doc_id, start + at, rest, total)
                 at = n
                 if w[0] == self.size:
                     self.open.remove(w)
@@ -129,21 +131,28 @@ class Windows:
             else:
                 w = max(self.open, key=lambda x: x[0])
                 if (gap := self.size - w[0]) >= self.least_cut:
-                    self.put(w, doc_id, ids, at, gap)
+                    self.put(w, doc_id, start + at, rest[:gap], total)
                     at += gap
                 self.open.remove(w)
                 self.emit(w)
 
-    def leftovers(self) -> list[tuple]:
-        return [(*p[:-1], True) for w in self.open for p in w[2]]
+    def close(self, leftover: bool) -> None:
+        """Emit all open windows."""
+        for w in self.open:
+            self.emit(w, leftover)
+        self.open = []
+
+
+NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+#: ids: those of pieces in leftover windows, null for others.
+LEFT = f"{PIECES}, ids binary"
 
 
 def _pack(path: str, size: int, most_open: int, least_cut: int):
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "leftover"]
-    kinds = [pa.int64()] * 7 + [pa.bool_()]
+    kinds = [pa.int64()] * 7 + [pa.binary()]
 
     def table(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -156,37 +165,37 @@ def _pack(path: str, size: int, most_open: int, least_cut: int):
             if windows.rows:
                 yield table(windows.rows)
                 windows.rows = []
-        if rows := windows.leftovers():
-            yield table(rows)
+        windows.close(leftover=True)
+        if windows.rows:
+            yield table(windows.rows)
 
     return run
 
 
-def _merge(size: int, keep_open: int):
-    """Merge the leftover windows of a group by best fit, largest first; all but the keep_open emptiest are final."""
+def _merge(level: int, size: int, most_open: int, least_cut: int, last: bool):
+    """Pack the pieces of a group's leftover windows anew, those of the fullest windows first. In the last group, what is left at the end fills one window after the other."""
 
-    def run(pdf):
-        import bisect
+    def run(key, pdf):
+        import pandas as pd
 
-        pdf = pdf.sort_values(["sequence_id", "offset"], kind="stable")
-        used = pdf.groupby("sequence_id")["length"].sum().sort_values(ascending=False, kind="stable")
-        bins: dict[int, int] = {}
-        gaps: list[tuple[int, int]] = []  # (gap, bin), ascending
-        to, base = {}, {}
-        for seq, n in used.items():
-            i = bisect.bisect_left(gaps, (n, -1))
-            if i < len(gaps):
-                gap, b = gaps.pop(i)
-            else:
-                gap, b = size, seq
-            to[seq], base[seq] = b, size - gap
-            bins[b] = size - gap + n
-            bisect.insort(gaps, (gap - n, b))
-        still = {b for gap, b in gaps[len(gaps) - keep_open :] if gap} if keep_open else set()
-        pdf["offset"] += pdf["sequence_id"].map(base)
-        pdf["sequence_id"] = pdf["sequence_id"].map(to)
-        pdf["leftover"] = pdf["sequence_id"].isin(still)
-        return pdf
+        first = (level << 58) + (int(key[0]) << 24)
+        pdf = pdf.assign(_used=pdf.groupby("sequence_id")["length"].transform("sum")).sort_values(["_used", "sequence_id", "offset"], ascending=[False, True, True], kind="stable")
+        windows = Windows(first, size, most_open, least_cut)
+
+        def pour(pieces) -> None:
+            for doc_id, start, raw, total in pieces:
+                windows.add(doc_id, np.frombuffer(raw, dtype="<u4"), int(start), int(total))
+
+        ids = [None if pd.isna(i) else int(i) for i in pdf["doc_id"]]
+        pour(zip(ids, pdf["start"], pdf["ids"], pdf["doc_tokens"], strict=True))
+        if last:
+            left = [(d, s, i.tobytes(), t) for w in sorted(windows.open, key=lambda w: -w[0]) for d, s, i, t, _ in w[2]]
+            windows.open, windows.most_open, windows.least_cut = [], 1, 1
+            pour(left)
+        windows.close(leftover=not last)
+        out = pd.DataFrame(windows.rows, columns=NAMES)
+        out["doc_id"] = out["doc_id"].astype("Int64")
+        return out
 
     return run
 
@@ -195,20 +204,20 @@ def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, most_open: int = O
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of docs(doc_id, text), each document closed by SEPARATOR."""
     spark = docs.sparkSession
     prepare(spark)
-    kind = f"{PIECES}, leftover boolean"
-    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pack(tokenizer, size, most_open, least_cut), kind)
-    pieces = materialize(pieces, "pieces")  # a few dozen bytes a document; tokens are never stored
-    done = [pieces.where("not leftover").drop("leftover")]
-    rest = pieces.where("leftover")
-    groups = (rest.agg(F.max("sequence_id")).first()[0] or 0) >> 32
+    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pack(tokenizer, size, most_open, least_cut), LEFT)
+    pieces = materialize(pieces, "pieces")  # a few dozen bytes a document; only tokens of leftover windows are stored
+    done = [pieces.where("ids IS NULL").drop("ids")]
+    rest = pieces.where("ids IS NOT NULL").withColumn("_group", F.shiftright("sequence_id", 32))
+    groups, level = (rest.agg(F.max("_group")).first()[0] or 0), 0
     while True:
-        groups //= FAN_IN
-        merged = rest.groupBy((F.shiftright("sequence_id", 32) / FAN_IN).cast("long").alias("_group") if groups else F.lit(0).alias("_group"))
-        merged = materialize(merged.applyInPandas(_merge(size, most_open if groups else 0), kind), "leftovers")
-        done.append(merged.where("not leftover").drop("leftover"))
+        groups, level = groups // FAN_IN, level + 1
+        by_group = rest.withColumn("_group", F.floor(F.col("_group") / FAN_IN).cast("long")).groupBy("_group")
+        merged = by_group.applyInPandas(_merge(level, size, most_open, least_cut, groups == 0), LEFT)
+        merged = materialize(merged, "leftovers")
+        done.append(merged.where("ids IS NULL").drop("ids"))
         if not groups:
             break
-        rest = merged.where("leftover")
+        rest = merged.where("ids IS NOT NULL").withColumn("_group", F.shiftright(F.col("sequence_id").bitwiseAND(F.lit((1 << 58) - 1)), 24))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
