@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.errors import VertexRangeError
 from loomgraph.metadata import DST_INDEX, SRC_INDEX
-from loomgraph.plans.lineage import at_most, materialize
+from loomgraph.plans.lineage import at_most, broadcast_if_small, materialize
 
 #: Edges up to this number are broadcast: 8 bytes each.
 BROADCAST_EDGES = 4_000_000
@@ -74,7 +74,7 @@ def _broadcast(pairs: DataFrame, edges: DataFrame) -> DataFrame:
 
 def bfs_levels(edges: DataFrame, sources: DataFrame, targets: DataFrame | None = None, max_depth: int | None = None) -> DataFrame:
     """(src, vertex, depth) for all that sources(src) reach. With targets(src, dst), a source goes on only until all its targets are reached."""
-    e = _ids(edges).distinct()
+    e = materialize(_ids(edges).distinct(), "bfs-edges")  # read once a level, made once
     level = materialize(sources.select(F.col("src").cast("long").alias("src")).where("src IS NOT NULL").distinct().select("src", F.col("src").alias("vertex")), "bfs")
     levels = [level.withColumn("depth", F.lit(0).cast("long"))]
     seen, left, depth = level, targets, 0
@@ -82,7 +82,8 @@ def bfs_levels(edges: DataFrame, sources: DataFrame, targets: DataFrame | None =
         if left is not None:
             left = materialize(left.join(level.withColumnRenamed("vertex", "dst"), ["src", "dst"], "left_anti"), "bfs-left")
             level = level.join(left.select("src").distinct(), "src", "left_semi")
-        ahead = level.join(e, F.col("vertex") == F.col("s")).select("src", F.col("d").alias("vertex")).distinct()
+        ahead = e.join(broadcast_if_small(level), F.col("vertex") == F.col("s"))  # a small frontier spares a shuffle of the edges
+        ahead = ahead.select("src", F.col("d").alias("vertex")).distinct()
         level = materialize(ahead.join(seen, ["src", "vertex"], "left_anti"), "bfs")
         if level.isEmpty():
             break

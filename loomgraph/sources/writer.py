@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomgraph.metadata import DST_INDEX, SRC_INDEX, VERTEX_INDEX, AdjacencyInfo, EdgeInfo, GraphInfo, PropertyGroup, VertexInfo, type_name
+from loomgraph.plans.lineage import SMALL_ROWS, at_most, materialize
 from loomgraph.sources import layout
 from loomgraph.sources.reader import OFFSET_COLUMN
 
-#: Rows of a part are numbered by a window over the part: its vertices' chunk size bounds it.
 ORDERS = ("src", "dst")
+#: Edges up to this number are numbered by a window over each part.
+WINDOW_ROWS = 5_000_000
 
 
 class Files:
@@ -94,8 +96,7 @@ def write_edges(spark: SparkSession, directory: str, e: EdgeInfo, df: DataFrame,
         n = n_src if o.aligned_by == "src" else n_dst
         size = layout.chunk_size_of(e, o)
         part = F.floor(F.col(key) / size).cast("int")
-        w = Window.partitionBy("_p").orderBy(key, other, *[c for g in e.groups for c in g.names])
-        rows = df.withColumn("_p", part).withColumn("_row", F.row_number().over(w) - 1)
+        rows = numbered(df.withColumn("_p", part), [key, other, *[c for g in e.groups for c in g.names]])
         rows = rows.withColumn("_c", F.floor(F.col("_row") / e.chunk_size).cast("int"))
         _write(rows.select("_p", "_c", "_row", SRC_INDEX, DST_INDEX), ["_p", "_c"], o.file_type, layout.adjacency(directory, e, o), ["_row"])
         for g in e.groups:
@@ -114,6 +115,21 @@ def write_edges(spark: SparkSession, directory: str, e: EdgeInfo, df: DataFrame,
             files.put(layout.edge_count(directory, e, o, p), counts.get(p, 0).to_bytes(8, "little", signed=True))
 
 
+def numbered(df: DataFrame, order: list[str], window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """df(_p, ...) with _row, the number from 0 of each row among those of its part, in the order.
+
+    A part can hold any number of edges. Beyond window_rows in all, rows are range-partitioned by part and order, numbered
+    within each partition, and shifted by the count of the part's rows in the partitions before (a table of one row for each partition and part).
+    """
+    if at_most(df, window_rows):
+        return df.withColumn("_row", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1)
+    keys = ["_p", *order]
+    dealt = materialize(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), "numbered")
+    before = dealt.groupBy("_p", "_part").count().select("_p", "_part", (F.sum("count").over(Window.partitionBy("_p").orderBy("_part")) - F.col("count")).alias("_base"))
+    within = F.row_number().over(Window.partitionBy("_p", "_part").orderBy(*order)) - 1
+    return dealt.join(F.broadcast(before) if at_most(before, SMALL_ROWS) else before, ["_p", "_part"]).withColumn("_row", F.col("_base") + within).drop("_base", "_part")
+
+
 def _props(groups: tuple[PropertyGroup, ...]) -> list[dict]:
     def kind(k: str) -> dict:
         return {"data_type": "list", "element_type": k[5:-1]} if k.startswith("list<") else {"data_type": k}

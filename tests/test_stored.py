@@ -165,3 +165,17 @@ def test_shipped_layout_of_one_csv_group(spark, tmp_path):
     assert [tuple(r) for r in v.where(F.col(VERTEX_INDEX) == 0).collect()] == [(0, 0)]
     assert [tuple(r) for r in v.where("hash_phone_no = 42").collect()] == [(42, 42)]
     assert [r[0] for r in v.orderBy(VERTEX_INDEX).limit(4).collect()] == [0, 1, 2, 3]
+
+
+def test_rows_are_numbered_alike_either_way(spark):
+    import random
+
+    from loomgraph.sources.writer import numbered
+
+    rng = random.Random(5)
+    rows = [(rng.randrange(3), rng.randrange(6), rng.randrange(6)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "_p long, s long, d long").repartition(5)
+    want = sorted((p, i, s, d) for p in range(3) for i, (s, d) in enumerate(sorted((s, d) for q, s, d in rows if q == p)))
+    for limit in (10**6, 0):
+        got = numbered(df, ["s", "d"], limit).select("_p", "_row", "s", "d").collect()
+        assert sorted(map(tuple, got)) == want
