@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.errors import GraphError
 from loomgraph.operators.paths import BROADCAST_EDGES, UNREACHED, Adjacency, _ids
-from loomgraph.plans.lineage import at_most
+from loomgraph.plans.lineage import at_most, ship
 
 NAME = "Loomgraph"
 
@@ -25,6 +25,7 @@ def path_udf(edges: DataFrame, limit: int = BROADCAST_EDGES) -> Callable[..., Co
     """bfs_length(src, dst) as a vectorised function over broadcast edges. Graphs of more than limit edges are refused: use operators.bfs_length."""
     if not at_most(_ids(edges), limit):
         raise GraphError(f"more than {limit} edges: use the DataFrame operator")
+    ship(edges.sparkSession)
     got = _ids(edges).toArrow()
     shared = edges.sparkSession.sparkContext.broadcast((got.column("s").to_numpy(), got.column("d").to_numpy()))
 

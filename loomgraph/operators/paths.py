@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.errors import VertexRangeError
 from loomgraph.metadata import DST_INDEX, SRC_INDEX
-from loomgraph.plans.lineage import at_most, broadcast_if_small, materialize
+from loomgraph.plans.lineage import at_most, broadcast_if_small, materialize, ship
 
 #: Edges up to this number are broadcast: 8 bytes each.
 BROADCAST_EDGES = 4_000_000
@@ -57,6 +57,7 @@ def _ids(edges: DataFrame) -> DataFrame:
 
 
 def _broadcast(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    ship(edges.sparkSession)
     got = _ids(edges).toArrow()
     shared = edges.sparkSession.sparkContext.broadcast((got.column("s").to_numpy(), got.column("d").to_numpy()))
 

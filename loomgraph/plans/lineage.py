@@ -1,9 +1,12 @@
-"""Cutting lineage and checking sizes."""
+"""Cutting lineage, checking sizes, and shipping this package to executors."""
 
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,20 @@ FALLBACK_DIR = "/tmp/checkpoints/loomgraph"
 SMALL_ROWS = 1_000_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on executors, for functions that run in Python there. Once for each context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_loomgraph_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="loomgraph")) / "loomgraph.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, str(Path(root.name) / p.relative_to(root)))
+    sc.addPyFile(str(target))
+    sc._loomgraph_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as spark.checkpoint.dir names it."""
     given = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from loomgraph.errors import GraphBindError, GraphIOError, VertexRangeError
 from loomgraph.metadata import DST_INDEX, SRC_INDEX, VERTEX_INDEX, AdjacencyInfo, EdgeInfo, GraphInfo, PropertyGroup
+from loomgraph.plans.lineage import ship
 from loomgraph.sources import layout
 
 #: fixed value: the column of offset files
@@ -142,6 +143,7 @@ def placed(spark: SparkSession, file_type: str, fields: list[T.StructField], pat
         raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     except Exception as e:
         raise GraphIOError(f"Failed to read chunks from path: {paths}") from e
+    ship(spark)
     place = [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())]
     return raw.select(file(F.col("path")), "content").mapInArrow(_parse(file_type, fields), T.StructType([*place, *fields]))
 
