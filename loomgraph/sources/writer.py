@@ -97,12 +97,12 @@ def write_edges(spark: SparkSession, directory: str, e: EdgeInfo, df: DataFrame,
         size = layout.chunk_size_of(e, o)
         part = F.floor(F.col(key) / size).cast("int")
         rows = numbered(df.withColumn("_p", part), [key, other, *[c for g in e.groups for c in g.names]])
-        rows = rows.withColumn("_c", F.floor(F.col("_row") / e.chunk_size).cast("int"))
+        rows = materialize(rows.withColumn("_c", F.floor(F.col("_row") / e.chunk_size).cast("int")), "edges")  # numbered once for all files
         _write(rows.select("_p", "_c", "_row", SRC_INDEX, DST_INDEX), ["_p", "_c"], o.file_type, layout.adjacency(directory, e, o), ["_row"])
         for g in e.groups:
             _write(rows.select("_p", "_c", "_row", *g.names), ["_p", "_c"], g.file_type, layout.edge_group(directory, e, o, g), ["_row"])
         # offsets: for each chunk of vertices, the row of the part where each vertex's edges begin, and the part's end
-        degrees = spark.range(n).select(F.col("id").alias("v")).join(df.groupBy(F.col(key).alias("v")).count(), "v", "left")
+        degrees = spark.range(n).select(F.col("id").alias("v")).join(rows.groupBy(F.col(key).alias("v")).count(), "v", "left")
         degrees = degrees.select("v", F.coalesce("count", F.lit(0)).alias("n"), F.floor(F.col("v") / size).cast("int").alias("_c"))
         so_far = Window.partitionBy("_c").orderBy("v")
         begins = degrees.select("_c", (F.col("v") % size).alias("_row"), (F.sum("n").over(so_far) - F.col("n")).alias(OFFSET_COLUMN))
