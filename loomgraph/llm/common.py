@@ -1,64 +1,24 @@
-"""Plumbing shared by the operators of this subpackage: shipping code, cutting lineage, graph components."""
+"""What the operators of this subpackage share: shipping code with small Arrow batches, and graph components."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder, as in tests.
-FALLBACK_DIR = "/tmp/checkpoints/loomgraph"
+from loomgraph.plans.lineage import discard, materialize, shared_dir, ship
+
+__all__ = ["components", "discard", "materialize", "prepare", "shared_dir"]
 #: Bytes of one Arrow batch: whole texts can be long, and workers share an executor's memory.
 ARROW_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make this package importable on executors and keep Arrow batches small. Idempotent for each context."""
-    sc = spark.sparkContext
-    if not getattr(sc, "_loomgraph_shipped", False):
-        root = Path(__file__).resolve().parents[1]
-        target = Path(tempfile.mkdtemp(prefix="loomgraph")) / "loomgraph.zip"
-        with zipfile.ZipFile(target, "w") as z:
-            for p in sorted(root.rglob("*.py")):
-                z.write(p, str(Path(root.name) / p.relative_to(root)))
-        sc.addPyFile(str(target))
-        sc._loomgraph_shipped = True
+    """Make this package importable on executors and keep Arrow batches small. Idempotent."""
+    ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) > ARROW_BYTES:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as spark.checkpoint.dir names it."""
-    given = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not given:
-        given = FALLBACK_DIR
-        os.makedirs(given, exist_ok=True)
-        spark.conf.set("spark.checkpoint.dir", given)
-    return given.rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df once as a table in the shared folder and read it back: lineage ends there, lost executors cost no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/loomgraph/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._loomgraph_path = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files of a materialized table that nothing will read any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._loomgraph_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (u, v): one row (node, component) per node that has an edge, component its smallest node.
 
