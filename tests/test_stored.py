@@ -155,15 +155,15 @@ def test_banner(spark):
 
 def test_shipped_layout_of_one_csv_group(spark, tmp_path):
     """A vertex type as a single extension-less CSV chunk with a header, its type named in the metadata, without a count file."""
-    d = tmp_path / "vertex" / "Person" / "hash_phone_no"
+    d = tmp_path / "vertex" / "Person" / "number"
     d.mkdir(parents=True)
-    (d / "chunk0").write_text(f'"{VERTEX_INDEX}","hash_phone_no"\n' + "".join(f"{i},{i}\n" for i in range(37700)))
-    (tmp_path / "Git.yaml").write_text("name: Git\nversion: gar/v1\nvertices:\n  - Person.vertex.yaml\nedges: []\n")
-    (tmp_path / "Person.vertex.yaml").write_text("type: Person\nprefix: vertex/Person/\nchunk_size: 1048576\nproperty_groups:\n  - file_type: csv\n    prefix: hash_phone_no/\n    properties:\n      - {name: hash_phone_no, data_type: int32, is_primary: true, is_nullable: false}\n")
-    v = Graph.load(spark, str(tmp_path / "Git.yaml")).vertices("Person")
+    (d / "chunk0").write_text(f'"{VERTEX_INDEX}","number"\n' + "".join(f"{i},{i}\n" for i in range(37700)))
+    (tmp_path / "people.yaml").write_text("name: people\nversion: gar/v1\nvertices:\n  - Person.vertex.yaml\nedges: []\n")
+    (tmp_path / "Person.vertex.yaml").write_text("type: Person\nprefix: vertex/Person/\nchunk_size: 1048576\nproperty_groups:\n  - file_type: csv\n    prefix: number/\n    properties:\n      - {name: number, data_type: int32, is_primary: true, is_nullable: false}\n")
+    v = Graph.load(spark, str(tmp_path / "people.yaml")).vertices("Person")
     assert v.count() == 37700
     assert [tuple(r) for r in v.where(F.col(VERTEX_INDEX) == 0).collect()] == [(0, 0)]
-    assert [tuple(r) for r in v.where("hash_phone_no = 42").collect()] == [(42, 42)]
+    assert [tuple(r) for r in v.where("number = 42").collect()] == [(42, 42)]
     assert [r[0] for r in v.orderBy(VERTEX_INDEX).limit(4).collect()] == [0, 1, 2, 3]
 
 
