@@ -39,7 +39,7 @@ from loomgraph.llm.suffixdedup import Hashed, mix
 BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
 BITS = 1024
-SEGMENT = 1 << 18
+SEGMENT = 1 << 17
 LONG_WORD = 1 << 16
 #: About this many documents of one bucket are compared with as many at a time.
 BLOCK = 256
@@ -62,8 +62,8 @@ def word_hashes(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     out = np.empty(len(lo), dtype=np.uint64)
     i = 0
     while i < len(lo):
-        j = max(i + 1, int(np.searchsorted(hi, lo[i] + 4 * SEGMENT, side="right")))
-        if hi[j - 1] - lo[i] <= max(4 * SEGMENT, LONG_WORD):
+        j = max(i + 1, int(np.searchsorted(hi, lo[i] + 2 * SEGMENT, side="right")))
+        if hi[j - 1] - lo[i] <= max(2 * SEGMENT, LONG_WORD):
             hashed = Hashed(data[lo[i] : hi[j - 1]])
             a, b = lo[i:j] - lo[i], hi[i:j] - lo[i]
             out[i:j] = mix(hashed.raw(0, a, b)) + mix(hashed.raw(1, a, b)) * np.uint64(3)

@@ -32,9 +32,9 @@ LENGTH = 100
 GRAM = 37
 WINDOW = LENGTH - GRAM + 1  # 64 anchors to choose from
 #: Bytes of text hashed at a time, and anchors of a task whose classes are formed at a time (about 250 bytes each while they are).
-SEGMENT, TABLE = 1 << 18, 1 << 19
+SEGMENT, TABLE = 1 << 17, 1 << 17
 #: Windows of one text hashed at a time.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Classes of one anchor hash in one task beyond which its windows are grouped by their own hashes.
 HOT = 64
 #: Hot anchors whose windows a task holds at once.
@@ -51,7 +51,7 @@ _powers: list[tuple[np.ndarray, np.ndarray]] = []
 def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Powers 0 to n - 1 of the bases and of their inverses, modulo 2 ** 64."""
     if not _powers or len(_powers[0][0]) < n:
-        size = 1 << max(n, SEGMENT * 2).bit_length()
+        size = 1 << max(n, SEGMENT).bit_length()
         up = lambda b: np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size, b, dtype=np.uint64), dtype=np.uint64)])
         _powers[:] = [(up(b), up(pow(b, -1, 1 << 64))) for b in _BASES]
     return _powers
