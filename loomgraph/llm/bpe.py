@@ -102,11 +102,15 @@ class WordBpe:
         return self.merge([s for s in symbols if s >= 0])
 
     def chunk(self, chunk: str) -> bytes:
-        """The ids of a chunk without white space, as little-endian unsigned 32-bit integers; kept for the next time."""
-        ids = [i for w in self.words.findall(chunk) for i in self.word(w)]
+        """The ids of a chunk without white space, as little-endian unsigned 32-bit integers; kept for the next time, as are those of its words."""
         if len(self.chunks) >= self.kept:
             self.chunks.clear()
-        out = self.chunks[chunk] = np.array(ids, dtype="<u4").tobytes()
+        words = self.words.findall(chunk)
+        if len(words) == 1:
+            out = np.array(self.word(words[0]), dtype="<u4").tobytes()
+        else:  # a word by itself is a chunk with the same ids
+            out = b"".join([self.chunks.get(w) or self.chunk(w) for w in words])
+        self.chunks[chunk] = out
         return out
 
     def normal(self, text: str) -> str:
