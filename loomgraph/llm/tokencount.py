@@ -26,7 +26,7 @@ from loomgraph.llm.common import prepare
 
 MARK = "▁"
 #: Chunks kept by a worker, about 130 bytes each, and judged seams, about 150.
-KEPT_CHUNKS, KEPT_SEAMS = 700_000, 400_000
+KEPT_CHUNKS, KEPT_SEAMS = 1_000_000, 400_000
 #: Prefixes of this many characters are kept with their counts and last tokens, as words share them.
 HEAD, KEPT_HEADS = 7, 60_000
 _NEVER = 1 << 60
@@ -51,6 +51,9 @@ class PrefixCounts:
         for p in self.rank:
             self.reach[p[-2:]] = max(self.reach.get(p[-2:], 1), len(p))
         self.heads: dict[str, tuple[list, list]] = {}
+        #: Pairs of characters that stand next to each other in some piece. Between others a text can be cut.
+        self.pairs = {p[i : i + 2] for p in self.rank for i in range(len(p) - 1)}
+        self.ends = re.compile(r"[\W_]+$")
         self.kept = kept
         self.bare: dict[str, int] = {}
         self.marked: dict[str, int] = {}  # words after a single space
@@ -144,7 +147,12 @@ class PrefixCounts:
         """Tokens of before + chunk, kept in table under chunk."""
         out = table.get(chunk)
         if out is None:
-            out = self.chunk(before + chunk)[-1]
+            end = self.ends.search(chunk)
+            if end is not None and end.start() and chunk[end.start() - 1 : end.start() + 1] not in self.pairs:
+                # punctuation after a word, which no piece joins to it
+                out = self.total(chunk[: end.start()], table, before) + self.total(chunk[end.start() :], self.bare)
+            else:
+                out = self.chunk(before + chunk)[-1]
             if len(table) >= self.kept:
                 table.clear()
             table[chunk] = out
