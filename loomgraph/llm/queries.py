@@ -65,4 +65,29 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_embeddings, op2_url_filter, op3_language_id, op4_secrets, op5_top_k, op6_packing, op7_minhash, op8_suffix_dedup, op9_bpe, op10_token_counts)}
-ORACLES: dict[str, str] = {"op2_url_filter": urlfilter.oracle(), "op4_secrets": secrets.oracle()}
+_REACH = """reach AS (SELECT id, id AS c FROM nodes UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.c),
+groups AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)"""
+_USABLE = "embedding IS NOT NULL AND len(embedding) > 0 AND NOT list_bool_or(list_transform(embedding, lambda x: coalesce(NOT isfinite(x::DOUBLE), true)))"
+
+OP1_SQL = f"""WITH RECURSIVE nodes AS (SELECT DISTINCT vec_id AS id FROM embeddings WHERE vec_id IS NOT NULL),
+v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS x FROM embeddings WHERE {_USABLE} AND list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+links AS (SELECT p.id AS a, q.id AS b FROM v p JOIN v q ON p.id <> q.id AND list_inner_product(p.x, q.x) / sqrt(list_inner_product(p.x, p.x) * list_inner_product(q.x, q.x)) >= 0.95),
+{_REACH}
+SELECT id AS vec_id, (SELECT count(*) FROM links WHERE links.a = groups.id) AS n_links, component_id, id = component_id AS kept FROM groups"""
+
+OP5_SQL = f"""WITH v AS (SELECT vec_id AS id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings WHERE {_USABLE}),
+scored AS (SELECT q.id AS query_id, c.id AS vec_id, list_inner_product(q.x, c.x)::BIGINT AS score FROM v q JOIN v c ON q.id % 50 = 0 AND q.id <> c.id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
+OP7_SQL = f"""WITH RECURSIVE nodes AS (SELECT doc_id AS id FROM documents),
+w AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM w),
+sizes AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+shared AS (SELECT p.id AS a, q.id AS b, count(*) AS n FROM s p JOIN s q ON p.g = q.g AND p.id <> q.id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+{_REACH}
+SELECT groups.id AS doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, component_id, groups.id = component_id AS kept FROM groups LEFT JOIN sizes ON sizes.id = groups.id"""
+
+#: What remains needs tokenizer libraries, fitted mixtures, or every 100-byte string of a table; tests compare those with the libraries and brute force.
+ORACLES: dict[str, str] = {"op1_near_embeddings": OP1_SQL, "op2_url_filter": urlfilter.oracle(), "op4_secrets": secrets.oracle(), "op5_top_k": OP5_SQL, "op7_minhash": OP7_SQL}
