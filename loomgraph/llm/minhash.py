@@ -233,22 +233,53 @@ FLAGS = "key long, a long, b long, side long, doc_id long, component long"
 COLUMNS = 4096
 
 
+#: Shingles of the sets that are intersected at a time, on either side.
+HELD = 400_000
+
+
 def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of sets with sets, as products of incidence matrices over the shingles on both sides, a few columns at a time."""
+    """Sizes of the intersections of sets with sets, for bounded portions of both sides at a time."""
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for a, b in _portions(left):
+        for c, d in _portions(right):
+            out[a:b, c:d] = _products(left[a:b], right[c:d])
+    return out
+
+
+def _portions(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    lo, held = 0, 0
+    for i, s in enumerate(sets):
+        if i > lo and held + len(s) > HELD:
+            yield lo, i
+            lo, held = i, 0
+        held += len(s)
+    if lo < len(sets):
+        yield lo, len(sets)
+
+
+def _products(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The same as products of incidence matrices over the shingles on both sides, a few columns at a time."""
     out = np.zeros((len(left), len(right)), dtype=np.float32)
-    flat = lambda sets: (np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
-    (x, i), (y, j) = flat(left), flat(right)
-    shared = np.intersect1d(x, y)
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    if not len(shared):
+        return out
+    sides = []
+    for sets in (left, right):
+        h, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
+        on = shared[at] == h
+        at, row = at[on], row[on]
+        order = np.argsort(at, kind="stable")
+        sides.append((at[order], row[order], len(sets)))
     for lo in range(0, len(shared), COLUMNS):
-        part = shared[lo : lo + COLUMNS]
-        sides = []
-        for h, row, n in ((x, i, len(left)), (y, j, len(right))):
-            at = np.minimum(np.searchsorted(part, h), len(part) - 1)
-            on = part[at] == h
-            m = np.zeros((n, len(part)), dtype=np.float32)
-            m[row[on], at[on]] = 1
-            sides.append(m)
-        out += sides[0] @ sides[1].T
+        width = min(COLUMNS, len(shared) - lo)
+        both = []
+        for at, row, n in sides:
+            i, j = np.searchsorted(at, [lo, lo + width])
+            m = np.zeros((n, width), dtype=np.float32)
+            m[row[i:j], at[i:j] - lo] = 1
+            both.append(m)
+        out += both[0] @ both[1].T
     return out
 
 
@@ -260,7 +291,14 @@ def _link_blocks(width: int, percent: int):
             left, right, apart = _sides(rows)
             if not apart.any():
                 continue
-            sets = shingle_sets([(r[6] or "").encode() for r in rows], width)
+            sets, texts, held = [], [], 0
+            for r in rows:  # a bounded number of bytes at a time
+                texts.append((r[6] or "").encode())
+                held += len(texts[-1])
+                if held >= SEGMENT:
+                    sets, texts, held = sets + shingle_sets(texts, width), [], 0
+            if texts:
+                sets += shingle_sets(texts, width)
             both = intersections([sets[i] for i in left], [sets[i] for i in right])
             size = np.array([len(s) for s in sets])
             i, j = np.nonzero(apart & (100 * both >= percent * (size[left][:, None] + size[right][None, :] - both)))
