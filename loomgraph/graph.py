@@ -127,7 +127,10 @@ class Graph:
         return [v.table for v in self.info.vertices] + [e.table for e in self.info.edges]
 
     def attach(self, paths: bool = True) -> list[str]:
-        """A temporary view for each table (quote their names: they hold a dot), and the SQL functions of the first edge type. Read-only."""
+        """A temporary view for each table (quote their names: they hold a dot), and the SQL functions of the first edge type. Read-only.
+
+        Path functions broadcast that type's edges here, whatever their number; paths=False does without.
+        """
         register_banner(self.spark)
         for v in self.info.vertices:
             self.vertices(v.type).createOrReplaceTempView(f"`{v.table}`")

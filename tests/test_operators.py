@@ -6,6 +6,7 @@ import pytest
 
 from loomgraph import operators as ops
 from loomgraph.errors import VertexRangeError
+from loomgraph.functions.scalar import path_udf, register_paths
 from loomgraph.metadata import DEGREE_ID, DST_INDEX, SRC_INDEX
 
 PATH = [(0, 1), (1, 2), (2, 3), (3, 4)]
@@ -123,3 +124,15 @@ def test_two_hop_pushes_its_filter_and_keeps_two_columns(spark, tmp_path):
     edges(spark, MULTI).selectExpr("*", "1 AS weight").write.parquet(str(tmp_path / "e"))
     plan = ops.two_hop(spark.read.parquet(str(tmp_path / "e")), 0)._jdf.queryExecution().executedPlan().toString()
     assert f"EqualTo({SRC_INDEX},0)" in plan and "weight" not in plan
+
+
+def test_scalar_paths_of_a_graph_in_pieces(spark):
+    chain = [(i, i + 1) for i in range(30)] + [(i, i * 7 % 31) for i in range(0, 30, 4)] + [(40, 41)]
+    asked = spark.createDataFrame([(s, d) for s in (0, 3, 9, 17, 28, 40, None) for d in [*range(0, 42, 3), None]], "src long, dst long").repartition(3)
+    want = ops.bfs_length(edges(spark, chain), asked)
+    length = path_udf(edges(spark, chain), limit=10, piece=7)
+    got = asked.select("src", "dst", length("src", "dst").alias("bfs_length"))
+    key = lambda r: tuple(-9 if x is None else x for x in r)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+    register_paths(spark, edges(spark, chain), limit=10)
+    assert tuple(spark.sql("SELECT bfs_length(0, 2), bfs_exist(40, 0), bfs_exist(0, 30), bfs_length(NULL, 1)").first()) == (2, False, True, None)
