@@ -8,13 +8,14 @@ epsilon, are joined: recursively, halving the longer interval and skipping pairs
 A pair of blocks gives link counts by vector and a star of links for each of its components, never all pairs; so a group of any size costs
 rows in proportion to its vectors times the blocks near it.
 
-Vectors that are null, zero, hold null or non-finite components, or haven't the usual dimension link with nothing. Rows without a vec_id are left out;
-rows repeated under one vec_id count as one vector and give one row. A table without rows gives none. Columns other than vec_id and embedding are ignored.
+Vectors that are null, zero, or hold null or non-finite components link with nothing, others with those of their dimension: the join runs once for each dimension
+that occurs. Rows without a vec_id are left out; rows repeated under one vec_id count as one vector and give one row. A table without rows gives none. Columns other than vec_id and embedding are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import components, materialize, prepare
-from loomgraph.llm.vectors import matrix, usable
+from loomgraph.llm.vectors import dimensions, matrix, usable
 
 AXES = 8
 CELLS = 4  # axes in the sort key
@@ -213,14 +214,23 @@ def near_duplicates(table: DataFrame, cosine: float = 0.95) -> DataFrame:
     epsilon = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     every = table.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
     vectors = materialize(usable(table).where(F.exists("x", lambda v: v != 0)), "vectors")
-    first = vectors.select(F.size("x").alias("d")).first()
-    if first is None:
+    each = [_links(vectors.where(F.size("x") == d), d, n, cosine, epsilon) for d, n in dimensions(vectors).items()]
+    if not each:
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    d = first["d"]
+    linked = reduce(DataFrame.unionByName, each)
+    counts = linked.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
+    groups = components(linked.select(F.col("vec_id").alias("u"), F.col("root").alias("v")))
+    out = every.join(counts, "vec_id", "left").join(groups.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+    component = F.coalesce("component", "vec_id")
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+
+
+def _links(vectors: DataFrame, d: int, n: int, cosine: float, epsilon: float) -> DataFrame:
+    """Link counts and stars (vec_id, n, root) of n vectors(vec_id, x) of dimension d."""
     axes = principal_axes(vectors, d)
     cells = vectors.mapInArrow(_cells(axes, epsilon), "vec_id long, x array<double>, " + ", ".join(f"c{i} long" for i in range(CELLS)))
     keys = [f"c{i}" for i in range(CELLS)] + ["vec_id"]  # the id spreads a cell of very many vectors over partitions
-    wanted = -(-vectors.count() // BLOCK)
+    wanted = -(-n // BLOCK)
     sequence = cells.repartitionByRange(max(1, wanted // 2), *keys).sortWithinPartitions(*keys).select("vec_id", "x")
     blocks = materialize(sequence.mapInArrow(_blocks(axes, BLOCK), BLOCKS), "blocks")
     found = blocks.count()
@@ -238,10 +248,4 @@ def near_duplicates(table: DataFrame, cosine: float = 0.95) -> DataFrame:
     pairs = a.join(b, "cell").where((F.col("a") <= F.col("b")) & near).select("a", "b").distinct()
     side = lambda k: blocks.select(F.col("block").alias(k), F.col("ids").alias(f"ids_{k}"), F.col("x").alias(f"x_{k}"))
     full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ids_a", "x_a", "ids_b", "x_b")
-    linked = materialize(full.mapInArrow(_join(axes, d, cosine, epsilon), "vec_id long, n long, root long"), "links")
-
-    counts = linked.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
-    groups = components(linked.select(F.col("vec_id").alias("u"), F.col("root").alias("v")))
-    out = every.join(counts, "vec_id", "left").join(groups.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    return materialize(full.mapInArrow(_join(axes, d, cosine, epsilon), "vec_id long, n long, root long"), "links")

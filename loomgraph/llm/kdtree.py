@@ -5,7 +5,8 @@ bounding box of every node. The largest inner product that a query can have in a
 best first until no bound reaches the k-th best score. A first pass searches one shard for each block of queries; its k-th scores are
 passed on to the searches of all other shards. Queries and shards meet block by block.
 
-Vectors that are null, hold null or non-finite components, or haven't the usual dimension take no part. Rows without a vec_id are left out; of rows repeated under
+Vectors that are null, or hold null or non-finite components take no part. Queries meet vectors of their own dimension: the search runs once for each
+that occurs. Rows without a vec_id are left out; of rows repeated under
 one vec_id the smallest vector counts. A table without rows gives none. Columns other than vec_id and embedding are ignored.
 Components beyond 2 ** 31 after scaling are cut to it.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import materialize, prepare
-from loomgraph.llm.vectors import matrix, usable
+from loomgraph.llm.vectors import dimensions, matrix, usable
 
 SCALE = 256
 SHARD, LEAF, QUERIES = 8192, 128, 512
@@ -159,12 +161,19 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE) ->
     """(query_id, rank, vec_id, score) for rows of table(vec_id, embedding) that is_query (over vec_id) picks, against all others."""
     spark = table.sparkSession
     prepare(spark)
-    found = "query_id long, vec_id long, score long"
     rows = materialize(usable(table), "vectors")
-    first = rows.select(F.size("x").alias("d")).first()
-    if first is None:
+    each = [_of_dimension(rows.where(F.size("x") == d), is_query, d, n, k, scale) for d, n in dimensions(rows).items()]
+    if not each:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    d, n, wanted = first["d"], rows.count(), rows.where(is_query)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows from each shard at most
+    every = reduce(DataFrame.unionByName, each)
+    return every.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _of_dimension(rows: DataFrame, is_query: Column, d: int, n: int, k: int, scale: int) -> DataFrame:
+    """(query_id, vec_id, score) of n rows(vec_id, x) of dimension d: at most k of each shard for a query, the k best of all among them."""
+    found = "query_id long, vec_id long, score long"
+    wanted = rows.where(is_query)
     portions = "part long, ids binary, x binary"
     count = max(1, -(-n // SHARD))
     shards = rows.repartition(count).mapInArrow(_portions(scale), portions)
@@ -184,9 +193,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE) ->
     members = blocks.select("block", "q_ids").mapInArrow(_members, "block long, query_id long")
     known = members.join(block_of, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "least")).alias("least"))  # QUERIES at most
     others = pairs.where("shard <> home").join(blocks, "block").join(known, "block", "left").join(shards, "shard").select(columns)
-    every = one.unionByName(others.mapInArrow(_search(k, d), found))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows from each shard at most
-    return every.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return one.unionByName(others.mapInArrow(_search(k, d), found))
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

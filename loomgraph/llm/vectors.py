@@ -12,16 +12,22 @@ MOST_DIMENSIONS = 10_000
 
 
 def usable(table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """(vec_id, x array<double>), one row per non-null vec_id whose vector has only finite components and the usual dimension.
+    """(vec_id, x array<double>), one row per non-null vec_id whose vector has only finite components.
 
-    The usual dimension is that of most such rows, the smaller on a tie. Of rows repeated under one vec_id the smallest vector counts.
+    Of rows repeated under one vec_id those of the usual dimension go first, that of most such rows, the smaller on a tie; of these the smallest vector counts.
     """
     x = F.col(embedding).cast("array<double>")
     bad = F.exists(x, lambda v: F.coalesce(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(True)))
     rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("x"), bad.alias("bad")).where("vec_id IS NOT NULL AND x IS NOT NULL AND size(x) > 0 AND NOT bad").drop("bad")
     sizes = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    rows = rows.where(F.size("x") == (sizes["d"] if sizes else 0))
-    return rows.groupBy("vec_id").agg(F.min("x").alias("x"))
+    odd = F.size("x") != F.lit(sizes["d"] if sizes else 0)
+    return rows.groupBy("vec_id").agg(F.min(F.struct(odd.alias("odd"), "x")).alias("first")).select("vec_id", "first.x")
+
+
+def dimensions(vectors: DataFrame) -> dict[int, int]:
+    """The dimensions that at least two of vectors(x) have, with the numbers of vectors."""
+    found = vectors.groupBy(F.size("x").alias("d")).count().where("count > 1").orderBy("d")
+    return {r["d"]: r["count"] for r in found.collect()}
 
 
 def matrix(column: pa.Array, rows: int) -> np.ndarray:

@@ -117,3 +117,35 @@ def test_few_and_odd_vectors(spark):
     assert kdtree.top_k(table(spark, [(1, [1, 2])]), F.col("vec_id") % 50 == 0).count() == 0
     big = kdtree.top_k(table(spark, [(0, [4e6, 1]), (1, [4e6, 2]), (2, [-4e6, 0])], "double"), F.col("vec_id") % 50 == 0).collect()
     assert [(r.vec_id, r.score) for r in sorted(big, key=lambda r: r["rank"])] == [(1, (4_000_000 * 256) ** 2 + 256 * 512), (2, -((4_000_000 * 256) ** 2))]
+
+
+def mixed():
+    """Vectors of three dimensions under ids that interleave, as rows and as (ids, matrix) of each."""
+    rng = np.random.default_rng(8)
+    parts = []
+    for k, (n, d) in enumerate([(60, 6), (40, 3), (20, 2)]):
+        x = np.round(rng.normal(size=(n, d)), 1) + 0.05
+        x[n // 2 : n // 2 + 5] = x[0]
+        parts.append((np.arange(n) * 3 + k, x))
+    return [(i, v) for ids, x in parts for i, v in zip(ids.tolist(), x.tolist())], parts
+
+
+def test_each_dimension_is_joined(spark):
+    rows, parts = mixed()
+    got = {r[0]: tuple(r)[1:] for r in egojoin.near_duplicates(table(spark, [*rows, (999, [1.0])], "double")).collect()}
+    want = {999: (0, 999, True)}
+    for ids, x in parts:
+        want |= brute_links(ids, x)
+    assert got == want and all(got[i][0] > 0 for ids, _ in parts for i in ids[:1].tolist())
+
+
+def test_each_dimension_is_searched(spark):
+    rows, parts = mixed()
+    got = kdtree.top_k(table(spark, [*rows, (1000, [1.0])], "double"), F.col("vec_id") % 10 == 0, 5).collect()
+    assert {tuple(r) for r in got} == set().union(*(brute_top(ids, x, 5, 10) for ids, x in parts))
+
+
+def test_rows_of_the_usual_dimension_go_first(spark):
+    rows = [(1, [2, 1]), (1, [1, 2]), (1, [0, 0, 1]), (2, [1, 2]), (3, [0, 0, 1]), (3, [0, 0, 2])]
+    got = {r[0]: tuple(r)[1:] for r in egojoin.near_duplicates(table(spark, rows, "double")).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True)}
