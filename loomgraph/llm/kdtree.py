@@ -8,7 +8,8 @@ passed on to the searches of all other shards. Queries and shards meet block by
 Vectors that are null, or hold null or non-finite components take no part. Queries meet vectors of their own dimension: the search runs once for each
 that occurs. Rows without a vec_id are left out; of rows repeated under
 one vec_id the smallest vector counts. A table without rows gives none. Columns other than vec_id and embedding are ignored.
-Components beyond 2 ** 31 after scaling are cut to it.
+Products are exact and ranked as such, whatever their size; a score that leaves the range of a long is given as the end of that range. Components that leave
+the range of a double when they are scaled are cut to it.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ from loomgraph.llm.common import materialize, prepare
 from loomgraph.llm.vectors import dimensions, matrix, usable
 
 SCALE = 256
+EXACT = 1 << 53  # whole numbers that doubles hold without a gap
 SHARD, LEAF, QUERIES = 8192, 128, 512
-LARGEST = 1 << 31
+LARGEST = 1 << 31  # components below it are kept in four bytes
+LEAST_LONG, MOST_LONG = -(1 << 63), (1 << 63) - 1
 
 
 class KdTree:
@@ -64,7 +67,8 @@ class KdTree:
 
     def bounds(self, q: np.ndarray) -> np.ndarray:
         """The largest product with anything in each node's box, for each query."""
-        return dot(np.maximum(q, 0), self.hi.T) + dot(np.minimum(q, 0), self.lo.T)
+        up, down = dot(np.maximum(q, 0), self.hi.T), dot(np.minimum(q, 0), self.lo.T)
+        return up + down if up.dtype == down.dtype else exact(up) + exact(down)
 
     def search(self, q: np.ndarray, own: int, bound: np.ndarray, k: int, least: int | None) -> list[tuple[int, int]]:
         """The k best (score, vec_id) but own, best first, ties to the smaller id; may leave out what is below least."""
@@ -80,11 +84,13 @@ class KdTree:
             left, right = self.kids[node]
             if left >= 0:
                 for kid in (left, right):
-                    if limit is None or bound[kid] >= limit:
+                    if limit is None or int(bound[kid]) >= limit:
                         heapq.heappush(queue, (-int(bound[kid]), kid))
                 continue
             a, b = self.first[node], self.last[node]
             scores = dot(self.x[a:b], q)
+            if limit is not None and scores.dtype != object:  # these are within the exact range of doubles
+                limit = max(-EXACT, min(EXACT, limit))
             at = np.arange(b - a) if limit is None else np.flatnonzero(scores >= limit)
             if len(at) > 4 * k:
                 at = at[scores[at] >= np.partition(scores[at], len(at) - k - 1)[len(at) - k - 1]]
@@ -99,16 +105,28 @@ class KdTree:
 
 
 def dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The exact integer product: in doubles where no sum can leave their exact range, else in Python's integers."""
-    if not a.size or not b.size or float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[-1] < 2**53:
+    """The exact integer product: in doubles where no sum of two can leave their exact range, else in Python's integers."""
+    if not a.size or not b.size or float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[-1] < EXACT // 2:
         return a @ b
-    big = a.astype(np.int64).astype(object) @ b.astype(np.int64).astype(object)
-    most = (1 << 63) - 1
-    return np.clip(big, -most, most).astype(object)
+    return exact(a) @ exact(b)
+
+
+def exact(x: np.ndarray) -> np.ndarray:
+    """Whole numbers as Python's integers."""
+    out = np.empty(x.size, dtype=object)
+    out[:] = [int(v) for v in x.ravel().tolist()]
+    return out.reshape(x.shape)
 
 
 def integers(x: np.ndarray, scale: int = SCALE) -> np.ndarray:
-    return np.clip(np.floor(scale * x), -LARGEST, LARGEST)
+    most = np.finfo(np.float64).max
+    with np.errstate(over="ignore"):
+        return np.clip(np.floor(scale * x), -most, most)
+
+
+def beyond(score: int) -> bytes | None:
+    """What orders the scores that a long can't tell apart, null for all others: the products of doubles have less than 2100 bits."""
+    return None if LEAST_LONG < score < MOST_LONG else (score + (1 << 2111)).to_bytes(264, "big")
 
 
 def _portions(scale: int):
@@ -124,7 +142,7 @@ def _portions(scale: int):
                 xs.append(integers(matrix(batch.column(1), batch.num_rows), scale))
         if ids:
             x = np.concatenate(xs)
-            raw = x.astype("<i4" if np.abs(x).max(initial=0) < LARGEST else "<i8").tobytes()
+            raw = x.astype("<i4" if np.abs(x).max(initial=0) < LARGEST else "<f8").tobytes()
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([np.concatenate(ids).tobytes()], pa.binary()), pa.array([raw], pa.binary())], names=["part", "ids", "x"])
 
@@ -132,10 +150,10 @@ def _portions(scale: int):
 
 
 def _search(k: int, d: int):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("beyond", pa.binary())])
 
     def vectors(raw: bytes, n: int) -> np.ndarray:
-        kind = "<i4" if len(raw) == 4 * n * d else "<i8"
+        kind = "<i4" if len(raw) == 4 * n * d else "<f8"
         return np.frombuffer(raw, dtype=kind).reshape(n, d).astype(np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,10 +167,10 @@ def _search(k: int, d: int):
                 q = vectors(q_x, len(queries))
                 bounds = tree.bounds(q)
                 known = {e["query_id"]: e["least"] for e in least or ()}
-                out = [(own, i, s) for r, own in enumerate(queries.tolist()) for s, i in tree.search(q[r], own, bounds[r], k, known.get(own))]
+                out = [(own, i, min(max(s, LEAST_LONG), MOST_LONG), beyond(s)) for r, own in enumerate(queries.tolist()) for s, i in tree.search(q[r], own, bounds[r], k, known.get(own))]
                 if out:
                     cols = list(zip(*out, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types, strict=True)], schema=schema)
 
     return run
 
@@ -165,14 +183,14 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE) ->
     each = [_of_dimension(rows.where(F.size("x") == d), is_query, d, n, k, scale) for d, n in dimensions(rows).items()]
     if not each:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows from each shard at most
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")  # k rows from each shard at most
     every = reduce(DataFrame.unionByName, each)
     return every.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _of_dimension(rows: DataFrame, is_query: Column, d: int, n: int, k: int, scale: int) -> DataFrame:
-    """(query_id, vec_id, score) of n rows(vec_id, x) of dimension d: at most k of each shard for a query, the k best of all among them."""
-    found = "query_id long, vec_id long, score long"
+    """(query_id, vec_id, score, beyond) of n rows(vec_id, x) of dimension d: at most k of each shard for a query, the k best of all among them."""
+    found = "query_id long, vec_id long, score long, beyond binary"
     wanted = rows.where(is_query)
     portions = "part long, ids binary, x binary"
     count = max(1, -(-n // SHARD))
@@ -188,7 +206,7 @@ def _of_dimension(rows: DataFrame, is_query: Column, d: int, n: int, k: int, sca
     none = F.lit(None).cast("array<struct<query_id:long,least:long>>").alias("least")
     one = pairs.where("shard = home").join(blocks, "block").join(shards, "shard").withColumn("least", none).select(columns)
     one = materialize(one.mapInArrow(_search(k, d), found), "home")
-    full = one.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == k)
+    full = one.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where((F.col("n") == k) & (F.col("least") > LEAST_LONG))
     block_of = wanted.select(F.col("vec_id").alias("query_id")).join(full, "query_id")
     members = blocks.select("block", "q_ids").mapInArrow(_members, "block long, query_id long")
     known = members.join(block_of, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "least")).alias("least"))  # QUERIES at most

@@ -149,3 +149,23 @@ def test_rows_of_the_usual_dimension_go_first(spark):
     rows = [(1, [2, 1]), (1, [1, 2]), (1, [0, 0, 1]), (2, [1, 2]), (3, [0, 0, 1]), (3, [0, 0, 2])]
     got = {r[0]: tuple(r)[1:] for r in egojoin.near_duplicates(table(spark, rows, "double")).collect()}
     assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True)}
+
+
+@pytest.mark.parametrize("shard", [8192, 3])
+def test_large_components_are_ranked_exactly(spark, monkeypatch, shard):
+    monkeypatch.setattr(kdtree, "SHARD", shard)
+    x = np.array([[1, 1], [1e7, 0], [2e7, 1], [3e9, -1], [-1e12, 5], [-2e12, 0], [0.5, 0.25], [9e6, 9e6], [1e7, 0], [-3e9, 7]])
+    ids = np.arange(len(x)) * 10
+    got = kdtree.top_k(table(spark, zip(ids.tolist(), x.tolist()), "double"), F.col("vec_id") == 0, 9).collect()
+    assert {tuple(r) for r in got} == {r for r in brute_top(ids, x, 9, 10) if r[0] == 0} and len(got) == 9
+
+
+@pytest.mark.parametrize("shard", [8192, 2])
+def test_scores_beyond_a_long_are_still_ranked(spark, monkeypatch, shard):
+    monkeypatch.setattr(kdtree, "SHARD", shard)
+    rows = [(0, [1e20, 1]), (1, [1e20, 0]), (2, [1e150, 0]), (3, [3e20, 0]), (4, [0, 5]), (5, [-1e150, 0]), (6, [-1e20, 0]), (7, [-3e20, 0]), (8, [1e20, 0])]
+    got = sorted(kdtree.top_k(table(spark, rows, "double"), F.col("vec_id") == 0, 8).collect(), key=lambda r: r["rank"])
+    assert [r.vec_id for r in got] == [2, 3, 1, 8, 4, 6, 7, 5]
+    assert [r.score for r in got] == [2**63 - 1] * 4 + [256 * 5 * 256] + [-(2**63)] * 3
+    few = sorted(kdtree.top_k(table(spark, rows, "double"), F.col("vec_id") == 0, 2).collect(), key=lambda r: r["rank"])
+    assert [r.vec_id for r in few] == [2, 3]
