@@ -1,7 +1,7 @@
 """Secret scanning with an incremental blob ledger, in DataFrame operations only.
 
 Every version of a text is addressed by its content (sha256). The ledger holds one row per (blob, rule version) that was scanned, with
-its findings. A run scans each unseen pair once, whatever number of paths or versions have the blob, and joins the findings back to all of them.
+its findings; update() leaves those without findings out unless it is called with clean=True, as for a ledger that later runs use. A run scans each unseen pair once, whatever number of paths or versions have the blob, and joins the findings back to all of them.
 
 Null texts count as empty. Repeated rows give repeated results, tables without rows none. Spans are in code points, end exclusive.
 Columns other than those named are ignored, whatever their names.
@@ -52,8 +52,8 @@ def address(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Findings (blob, spans) of blobs(blob, text) that have any. spans: array of (start, end, rank of kind, kind), in order.
+def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES, clean: bool = False) -> DataFrame:
+    """Findings (blob, spans) of blobs(blob, text) that have any; with clean also of the others, whose spans are empty. spans: array of (start, end, rank of kind, kind), in order.
 
     A rule's matches and the gaps between them come from the regular expression engine; positions are running sums of their lengths.
     """
@@ -70,25 +70,34 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         return F.when(may, F.when(F.size(found) > 0, rows).otherwise(none)).otherwise(none)
 
     each = F.flatten(F.array(*[of(k, r) for k, r in enumerate(rules)]))
-    rows = blobs.select("blob", each.alias("m")).where(F.size("m") > 0).select("blob", F.inline("m"))
+    rows = blobs.select("blob", each.alias("m"))
+    rows = rows.select("blob", F.inline_outer("m")) if clean else rows.where(F.size("m") > 0).select("blob", F.inline("m"))
     so_far = Window.partitionBy("blob", "rank").orderBy("i")
     before = so_far.rowsBetween(Window.unboundedPreceding, -1)
     start = F.sum("gap").over(so_far) + F.coalesce(F.sum("size").over(before), F.lit(0))
     least = F.element_at(F.array(*[F.lit(r.least) for r in rules]), F.col("rank") + 1)
     kind = F.element_at(F.array(*[F.lit(r.kind) for r in rules]), F.col("rank") + 1)
-    rows = rows.withColumn("start", start).where(F.col("counts") >= least)
+    rows = rows.withColumn("start", start)
+    long_enough = F.col("counts") >= least
+    if not clean:
+        rows = rows.where(long_enough)
     span = F.struct(F.col("start"), (F.col("start") + F.col("size")).alias("end"), F.col("rank"), kind.alias("kind"))
+    if clean:
+        span = F.when(long_enough, span)  # nulls aren't collected
     return rows.groupBy("blob").agg(F.sort_array(F.collect_list(span)).alias("spans"))  # the spans of one text
 
 
-def update(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The ledger (blob, rule_version, spans) after scanning what versions(text) holds and ledger doesn't have for this rule version."""
+def update(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, clean: bool = False) -> DataFrame:
+    """The ledger (blob, rule_version, spans) after scanning what versions(text) holds and ledger doesn't have for this rule version.
+
+    With clean, every scanned pair gets a row, one without findings an empty array. Without it those are scanned again by a later run.
+    """
     version = rule_version(rules)
     blobs = versions.select(address(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
     if ledger is not None:
         blobs = blobs.join(ledger.where(F.col("rule_version") == version).select("blob"), "blob", "left_anti")
     unseen = blobs.groupBy("blob").agg(F.first("text").alias("text"))
-    scanned = scan(unseen, rules)
+    scanned = scan(unseen, rules, clean)
     marked = scanned.select("blob", F.lit(version).alias("rule_version"), "spans")
     if ledger is None:
         return marked
