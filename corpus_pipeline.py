@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns the documents that it keeps, with the columns of documents; the last
 returns the pieces of packed sequences. A stage's docs are its predecessor's result, written and read again.
 
-1. language_id: documents without a language (no text or no letter) go.
+1. language_id: documents without a language (no text or no letter) go, and only those, also where no document has a language to learn from.
 2. near_dedup: of each group of near duplicates (five-word shingles, similarity 0.8 or more) the smallest doc_id stays.
 3. suffix_dedup: passages of 100 bytes or more that occurred before are cut out, whole characters only. Rows stay, even if nothing is left of their text.
 4. secrets: secrets in texts are masked.

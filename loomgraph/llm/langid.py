@@ -204,7 +204,9 @@ def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc
 
 
 def keep_known(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """docs without those whose language is unknown."""
+    """docs without those whose language is unknown. Where no language was learned, those with a letter stay."""
+    if not model.languages:
+        model = LanguageModel(["any"], np.full((1, FEATURES), 1 / FEATURES, dtype=np.float32))
     names = tuple(docs.columns)
     own = tuple(f"_langid_{i}_{'_'.join(names)}" for i in range(4))  # no column has such a name
     return predict(docs, model, names, own).where(F.col(f"`{own[0]}`") != UNKNOWN).select(*[F.col(f"`{c}`") for c in names])

@@ -84,6 +84,14 @@ def test_held_out_rows_and_accuracy(spark, sf):
     assert sum(r.lang == r.lang_pred for r in long) >= 0.97 * len(long)
 
 
+def test_letters_decide_where_nothing_was_learned(spark, docs_of):
+    docs = docs_of([(1, "clean prose"), (2, None), (3, ""), (4, "123 -- 4"), (5, "é"), (6, "\u2014 12"), (7, "1" * 300 + " word"), (8, "漢字")])
+    model = langid.train(docs)
+    assert model.languages == []
+    out = langid.keep_known(docs, model)
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 5, 7, 8]
+
+
 def test_keep_known_keeps_columns(spark, docs_of, trained):
     df = docs_of([(1, "thon er"), (2, None), (3, "12")])
     out = langid.keep_known(df, trained)
