@@ -76,7 +76,7 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES, clean: bool = False)
         border = length(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(1))) if rule.border else F.transform(found, lambda _: F.lit(0))
         cut = F.arrays_zip(length(F.split(text, rule.pattern, -1)).alias("gap"), length(found).alias("size"), length(sized).alias("counts"), border.alias("border"))
         rows = F.transform(F.slice(cut, 1, F.size(found)), lambda x, i: F.struct(F.lit(k).alias("rank"), i.alias("i"), x["gap"].alias("gap"), x["size"].alias("size"), x["counts"].alias("counts"), x["border"].alias("border")))
-        none = F.slice(rows, 1, 0)
+        none = F.array().cast("array<struct<rank: int, i: int, gap: int, size: int, counts: int, border: int>>")  # so that a text that can't match is searched once at most
         may = F.contains(text, F.lit(rule.needs)) if rule.needs else text.rlike(rule.pattern)
         return F.when(may, F.when(F.size(found) > 0, rows).otherwise(none)).otherwise(none)
 
