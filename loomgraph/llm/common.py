@@ -1,25 +1,85 @@
-"""What the operators of this subpackage share: shipping code with small Arrow batches, and graph components."""
+"""What the operators of this subpackage share: shipping code with small Arrow batches, telling documents apart, and graph components."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomgraph.plans.lineage import discard, materialize, shared_dir, ship
 
-__all__ = ["components", "discard", "materialize", "prepare", "shared_dir"]
+__all__ = ["Documents", "components", "discard", "materialize", "partitions", "prepare", "shared_dir"]
 #: Bytes of one Arrow batch: whole texts can be long, and workers share an executor's memory.
 ARROW_BYTES = 4 << 20
+#: Bytes that one task of a shuffle gets.
+TASK_BYTES = 128 << 20
+UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
 def prepare(spark: SparkSession) -> None:
     """Make this package importable on executors and keep Arrow batches small. Idempotent."""
     ship(spark)
-    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) > ARROW_BYTES:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = re.fullmatch(r"\s*(\d+)\s*([kmgt]?)i?b?\s*", str(spark.conf.get(name)).lower())
+    if size is None or int(size[1]) * UNITS[size[2]] > ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
+def partitions(spark: SparkSession, size: int) -> int:
+    """How many tasks so many bytes are dealt out to: what the session says for shuffles, or more."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+
+
+@dataclass
+class Documents:
+    """docs(doc_id, text) under numbers that tell documents apart.
+
+    number: the number of a document, as a column over the table `texts`(number, text, ...) has; mostly its doc_id itself. Where rows repeat an id or have none, documents are
+    told apart by id and text, and numbered from 0 in the order of ids, those without one last, then of a 64-bit hash of the text: so rows that agree in both are one document.
+    keys: then (number, doc_id); else None. bytes: of all texts.
+    """
+
+    texts: DataFrame
+    keys: DataFrame | None
+    bytes: int
+
+    @classmethod
+    def of(cls, docs: DataFrame, without_id: bool = False, keep: tuple[Column, ...] = ()) -> Documents:
+        """without_id: whether rows without a doc_id count. keep: further columns of texts. One pass over ids and lengths, and, only where ids repeat, one more over the texts."""
+        spark = docs.sparkSession
+        rows = docs if without_id else docs.where(F.col("doc_id").isNotNull())
+        rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
+        by_id = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
+        told = by_id.agg(F.sum("size"), F.max("n"), F.max(F.col("doc_id").isNull())).first()
+        names = [c for c in rows.columns if c != "doc_id"]
+        if (told[1] or 0) < 2 and not told[2]:
+            return cls(rows.select(F.col("doc_id").alias("number"), *names), None, int(told[0] or 0))
+        rows = rows.withColumn("_text", F.xxhash64("text"))
+        order = (F.col("doc_id").asc_nulls_last(), F.col("_text"))
+        dealt = rows.select("doc_id", "_text").distinct().repartitionByRange(partitions(spark, 0), *order)
+        dealt = materialize(dealt.withColumn("_part", F.spark_partition_id()), "ids")
+        sizes = dealt.groupBy("_part").count()  # a row for each partition
+        before = sizes.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
+        number = F.col("_before") + F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+        keys = materialize(dealt.join(F.broadcast(before), "_part").select(number.alias("number"), "doc_id", "_text"), "numbers")
+        own = keys.select("number", F.col("doc_id").alias("_id"), F.col("_text").alias("_own"))
+        rows = rows.join(own, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_own")))
+        return cls(rows.select("number", *names), keys.select("number", "doc_id"), int(told[0] or 0))
+
+    def named(self, result: DataFrame, *numbers: tuple[str, str]) -> DataFrame:
+        """result with doc_ids under new names in place of numbers: (column of numbers, new name)."""
+        for column, name in numbers:
+            if self.keys is None:
+                result = result.withColumnRenamed(column, name)
+            else:
+                ids = self.keys.select(F.col("number").alias(column), F.col("doc_id").alias(name))
+                result = result.join(ids, column, "left").drop(column)
+        return result
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (u, v): one row (node, component) per node that has an edge, component its smallest node.
 
     Large-star and small-star rounds alternate until the edge set no longer changes. Each round takes a
@@ -30,7 +90,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
     e = materialize(e, "edges")
     mark = None
-    for _ in range(max_rounds):
+    while True:  # every round that isn't the last merges something, and a path of n edges takes about log2(n) rounds
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
         # large star: every larger neighbour of u points to u's smallest neighbour
@@ -44,8 +104,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == mark:
             break
         mark = now
-    else:
-        raise RuntimeError("components: no fixed point")
     return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

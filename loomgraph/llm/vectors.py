@@ -7,8 +7,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Different dimensions told apart when the usual one is looked for.
-MOST_DIMENSIONS = 10_000
+def rows_of(table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+    """(vec_id, x array<double>), one row for each row with a vec_id whose vector has only finite components."""
+    x = F.col(embedding).cast("array<double>")
+    bad = F.exists(x, lambda v: F.coalesce(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(True)))
+    return table.select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("x"), bad.alias("bad")).where("vec_id IS NOT NULL AND x IS NOT NULL AND size(x) > 0 AND NOT bad").drop("bad")
 
 
 def usable(table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -16,9 +19,7 @@ def usable(table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding
 
     Of rows repeated under one vec_id those of the usual dimension go first, that of most such rows, the smaller on a tie; of these the smallest vector counts.
     """
-    x = F.col(embedding).cast("array<double>")
-    bad = F.exists(x, lambda v: F.coalesce(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(True)))
-    rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("x"), bad.alias("bad")).where("vec_id IS NOT NULL AND x IS NOT NULL AND size(x) > 0 AND NOT bad").drop("bad")
+    rows = rows_of(table, vec_id, embedding)
     sizes = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
     odd = F.size("x") != F.lit(sizes["d"] if sizes else 0)
     return rows.groupBy("vec_id").agg(F.min(F.struct(odd.alias("odd"), "x")).alias("first")).select("vec_id", "first.x")

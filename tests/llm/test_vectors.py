@@ -169,3 +169,86 @@ def test_scores_beyond_a_long_are_still_ranked(spark, monkeypatch, shard):
     assert [r.score for r in got] == [2**63 - 1] * 4 + [256 * 5 * 256] + [-(2**63)] * 3
     few = sorted(kdtree.top_k(table(spark, rows, "double"), F.col("vec_id") == 0, 2).collect(), key=lambda r: r["rank"])
     assert [r.vec_id for r in few] == [2, 3]
+
+
+def rows_of_repeated_ids(seed):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(160, 5))
+    x[20:60] = x[0] + 0.05 * rng.normal(size=(40, 5))
+    x[60:90] = x[1]  # copies
+    x[90:100] = 3 * x[1]
+    return rng.integers(0, 100, 160).astype(np.int64), x
+
+
+def test_every_row_of_a_repeated_id_is_joined(spark):
+    ids, x = rows_of_repeated_ids(21)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    on = (u @ u.T >= 0.95) & (ids[:, None] != ids[None, :])
+    n = {int(i): int(on[ids == i].sum()) for i in ids}
+    low = {int(i): int(i) for i in ids}
+    while True:
+        new = {i: min([low[i], *(low[int(j)] for j in ids[on[ids == i].any(0)])]) for i in low}
+        if new == low:
+            break
+        low = new
+    got = {r[0]: tuple(r)[1:] for r in egojoin.near_duplicates(table(spark, zip(ids.tolist(), x), "double"), every_row=True).collect()}
+    assert got == {i: (n[i], low[i], low[i] == i) for i in low}
+
+
+def test_every_row_of_unique_ids_with_copies(spark):
+    _, x = rows_of_repeated_ids(22)
+    ids = np.random.default_rng(1).permutation(160).astype(np.int64)
+    got = {r[0]: tuple(r)[1:] for r in egojoin.near_duplicates(table(spark, zip(ids.tolist(), x), "double"), every_row=True).collect()}
+    want = brute_links(ids, x)
+    near = np.abs(x @ x.T / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(x, axis=1)) - 0.95).min()
+    assert near > 1e-9 and got == want
+
+
+def test_every_row_of_a_repeated_id_is_searched(spark):
+    rows = [(7, [1, 0]), (7, [5, 0]), (0, [1, 0]), (3, [2, 0]), (0, [0, 1]), (4, [0, 3]), (0, [9, 9])]
+    got = {tuple(r) for r in kdtree.top_k(table(spark, rows, "double"), F.col("vec_id") % 50 == 0, 3).collect()}
+    v = {(i, k): np.floor(256 * np.array(x)) for k, (i, x) in enumerate(rows)}
+    pairs = sorted((-int(v[0, q] @ x), i) for q in (2, 4, 6) for (i, _), x in v.items() if i)
+    assert got == {(0, r + 1, i, -s) for r, (s, i) in enumerate(pairs[:3])}
+    one = {tuple(r) for r in kdtree.top_k(table(spark, [(0, [1, 0]), (7, [1, 0]), (7, [5, 0])], "double"), F.col("vec_id") == 0, 1).collect()}
+    assert one == {(0, 1, 7, 327680)}
+
+
+def test_a_tree_is_built_once_for_a_shard(monkeypatch):
+    import pyarrow as pa
+
+    built = []
+    monkeypatch.setattr(kdtree, "KdTree", lambda ids, x, make=kdtree.KdTree: (built.append(len(ids)), make(ids, x))[1])
+    rng = np.random.default_rng(1)
+    rows = []
+    for shard in range(4):
+        x = np.floor(rng.normal(size=(30, 3)) * 9)
+        rows.append((shard, 0, np.arange(30).tobytes(), kdtree.packed(x), None))
+        rows += [(shard, 1, np.array([99, 98]).tobytes(), kdtree.packed(x[:2]), [None, None]) for _ in range(5 if shard else 0)]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["shard", "kind", "ids", "x", "least"])
+    out = list(kdtree._search(5, 3)(iter([batch.slice(0, 7), batch.slice(7)])))
+    assert built == [30] * 3 and len(out) == 15  # none where no query came
+
+
+def test_box_bounds_prune_only_what_cannot_matter():
+    rng = np.random.default_rng(6)
+    x, q = np.floor(rng.normal(size=(5, 40, 8)) * 1e4), np.floor(rng.normal(size=(20, 8)) * 1e4)
+    bound = kdtree.box_bounds(q, x.min(1), x.max(1))
+    assert (bound >= np.einsum("qd,snd->qsn", q, x).max(2)).all()
+
+
+def test_vectors_sent_are_those_near_a_block(spark):
+    """Of two far groups in different blocks nothing is sent."""
+    import pyarrow as pa
+
+    axes = np.eye(3)
+    x = np.array([[1.0, 0, 0]] * 130 + [[0, 1.0, 0]] * 20)
+    ids, m = np.arange(150), np.ones(150, dtype=np.int64)
+    block = next(iter(egojoin.Sequence(axes, 150, 7).add(ids, m, x)))
+    assert [len(p) for p in (block.column(6)[0].as_py(),)] == [3]
+    kinds = pa.list_(pa.struct([("b", pa.int64()), ("parts", pa.list_(pa.int32()))]))
+    sent = pa.RecordBatch.from_arrays([*[block.column(i) for i in range(4)], pa.array([[{"b": 9, "parts": [2, 0]}]], kinds)], names=["block", "ids", "m", "x", "to"])
+    (out,) = egojoin._parts(3)(iter([sent]))
+    got, _, vectors = egojoin.unpack(*(out.column(i)[0].as_py() for i in (2, 3, 4)), 3)
+    assert got.tolist() == [*range(64), *range(128, 150)] and (vectors == x[got]).all()
