@@ -3,21 +3,23 @@
 A document's set is that of its distinct word shingles, by 64-bit hash. Documents are linked where the Jaccard similarity of their sets reaches the
 threshold; groups are the connected components of the links.
 
-1. One pass over the texts gives each document's set size, a 128-bit digest of the set, band keys of its MinHash samples, and an
+1. One pass over the texts gives each document's set size, a 128-bit BLAKE2 digest of the set, band keys of its MinHash samples, and an
    odd sketch: the parities of the samples' buckets. The popcount of two sketches' XOR estimates how many samples differ.
 2. Equal sets form a class; only its smallest document goes on.
 3. In each bucket of a band, every document is paired with the smallest one. Pairs whose sketches are too far apart for the
    threshold are dropped; the others are confirmed on the full sets, the nearest of each document first, and further
    ones only where they'd join two components.
-4. In buckets that still hold several components, all other pairs across components are compared by sketch, in blocks of bounded size. Documents that
+4. In buckets that still hold several components, all other pairs across components are compared by sketch, in blocks of bounded size: a large component's own
+   blocks meet those of others only. Documents that
    have a near sketch in another component of their block are compared there on the full sets, all at once; a star of links for each component
    found is all that leaves the block. Pairs within a component can't change the result, so no link between documents that share a bucket is lost.
 
 With BANDS bands of ROWS samples a pair at similarity 0.8 shares no bucket with probability (1 - 0.8 ** 5) ** 32 = 3e-6. The
 sketch limit lies six standard deviations beyond the threshold.
 
-Null texts and texts without words have empty sets: linked with nothing. Rows without a doc_id are left out. Rows repeated under one doc_id
-are one node of the graph and give a result each. Tables without rows give none. Columns other than doc_id and text are ignored.
+Null texts and texts without words have empty sets: linked with nothing. Rows without a doc_id are left out, or with without_id=True are documents of their own by text, which come
+after all others; a group of such rows alone has no component_id. Rows that repeat both an id and its text are one document and give a result each; different texts under one
+id are different documents. Tables without rows give none. Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import components, materialize, prepare
+from loomgraph.llm.common import Documents, components, materialize, partitions, prepare
 from loomgraph.llm.egojoin import smallest_reachable
 from loomgraph.llm.suffixdedup import Hashed, mix
 
@@ -40,9 +42,10 @@ BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
 BITS = 1024
 SEGMENT = 1 << 17
-LONG_WORD = 1 << 16
-#: About this many documents of one bucket are compared with as many at a time.
-BLOCK = 256
+#: Longer words are hashed by a cryptographic function: sums modulo 2 ** 64 can agree for long words of a regular kind.
+LONG_WORD = 64
+#: About this many documents of one bucket, or shingles of their sets, are compared with as many at a time.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 22
 #: Ids up to this number are broadcast (16 bytes each); more are joined by a shuffle.
 SMALL = 20_000
 
@@ -63,7 +66,7 @@ def word_hashes(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     i = 0
     while i < len(lo):
         j = max(i + 1, int(np.searchsorted(hi, lo[i] + 2 * SEGMENT, side="right")))
-        if hi[j - 1] - lo[i] <= max(2 * SEGMENT, LONG_WORD):
+        if hi[j - 1] - lo[i] <= max(2 * SEGMENT, LONG_WORD):  # else it is one long word
             hashed = Hashed(data[lo[i] : hi[j - 1]])
             a, b = lo[i:j] - lo[i], hi[i:j] - lo[i]
             out[i:j] = mix(hashed.raw(0, a, b)) + mix(hashed.raw(1, a, b)) * np.uint64(3)
@@ -141,8 +144,8 @@ def _profile(width: int):
                     hi += 1
                 sets = shingle_sets(texts[lo:hi], width)
                 n = np.array([len(s) for s in sets], dtype=np.int64)
-                g1 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
-                g2 = np.array([mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
+                g = np.frombuffer(b"".join([hashlib.blake2b(s, digest_size=16).digest() for s in sets]), dtype=np.int64).reshape(-1, 2)  # sets are sorted
+                g1, g2 = g[:, 0], g[:, 1]
                 bands, sketches = [], []
                 for s in sets:
                     if len(s):
@@ -152,7 +155,7 @@ def _profile(width: int):
                     else:
                         bands.append(None)
                         sketches.append(None)
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(n), pa.array(g1), pa.array(g2), pa.array(bands, schema.field("bands").type), pa.array(sketches, schema.field("sketch").type)], schema=schema)
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(n), pa.array(np.ascontiguousarray(g1)), pa.array(np.ascontiguousarray(g2)), pa.array(bands, schema.field("bands").type), pa.array(sketches, schema.field("sketch").type)], schema=schema)
                 lo = hi
 
     return run
@@ -312,20 +315,28 @@ def _link_blocks(width: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, without_id: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of docs(doc_id, text): component_id is the smallest doc_id of the group; kept tells whether it is the row's own."""
-    spark = docs.sparkSession
+    documents = Documents.of(docs, without_id)
+    out = documents.named(grouped(documents, width, percent), ("number", "doc_id"), ("component", "component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def grouped(documents: Documents, width: int, percent: int) -> DataFrame:
+    """(number, n, component) of every row, component being the smallest number of the group."""
+    texts = documents.texts.select(F.col("number").alias("doc_id"), "text")
+    spark = texts.sparkSession
     prepare(spark)
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profile = materialize(texts.mapInArrow(_profile(width), PROFILE), "profiles")
     limit = most_different(percent / 100)
     classes = materialize(profile.where("n > 0").groupBy("g1", "g2", "n").agg(F.min("doc_id").alias("rep")), "classes")
     reps = profile.where("n > 0").join(classes.select(F.col("rep").alias("doc_id"), "g1", "g2", "n"), ["doc_id", "g1", "g2", "n"], "left_semi")
-    reps = materialize(reps.select("doc_id", "bands", "sketch"), "reps")
+    reps = materialize((reps if documents.keys is None else reps.dropDuplicates(["doc_id"])).select("doc_id", "n", "bands", "sketch"), "reps")
     sketches = reps.select("doc_id", "sketch")
-    buckets = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    shared = materialize(buckets.groupBy("key").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last"), F.count("*").alias("size")).where("u < last").drop("last"), "buckets")
-    in_shared = materialize(buckets.join(shared, "key"), "members")  # (key, doc_id, band, u, size)
+    buckets = reps.select("doc_id", "n", F.posexplode("bands").alias("band", "key"))
+    shared = buckets.groupBy("key").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last"), F.count("*").alias("size")).where("u < last").drop("last")
+    shared = materialize(shared, "buckets")
+    in_shared = materialize(buckets.join(shared, "key"), "members")  # (key, doc_id, n, band, u, size)
 
     def near(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(sketches.select(F.col("doc_id").alias("u"), F.col("sketch").alias("a")), "u").join(sketches.select(F.col("doc_id").alias("v"), F.col("sketch").alias("b")), "v")
@@ -335,7 +346,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     def texts_of(ids: DataFrame, label: str) -> DataFrame:
         ids = materialize(ids.distinct(), "ids")
         few = ids.limit(SMALL + 1).count() <= SMALL
-        return materialize(texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), label)
+        found = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+        return materialize(found if documents.keys is None else found.dropDuplicates(["doc_id"]), label)  # rows of one document have one text
 
     def confirmed(pairs: DataFrame, of: DataFrame) -> DataFrame:
         """Pairs whose full sets are similar. The smaller document, often one of many pairs, joins last: Spark splits that join where it is skewed."""
@@ -356,32 +368,61 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     comps = materialize(components(links), "components")
     more = confirmed(apart(stars.join(best, ["u", "v"], "left_anti"), comps), of)
     found = [] if more.isEmpty() else [more]
+    if found:
+        comps = materialize(components(links.unionByName(more)), "components")
 
     # buckets that hold several components: all pairs across, in blocks
     own = in_shared.where("size > 2").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     mixed = materialize(mixed, "mixed")  # a table, so that a bucket of very many documents can be split in the join
-    own = own.join(mixed, "key", "left_semi").join(reps, "doc_id")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
-    own = own.withColumn("s", F.pmod(F.xxhash64("doc_id"), blocks)).withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    spread = own.select("key", F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"), F.when(F.col("s") == F.col("t"), 2).when(F.col("s") < F.col("t"), 0).otherwise(1).cast("long").alias("side"), "doc_id", "component", "sketch", "bands", "band")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    in_blocks = lambda df: df.repartition(parts, "key", "a", "b").sortWithinPartitions("key", "a", "b")
-    flagged = materialize(in_blocks(spread).mapInArrow(_flag(limit), FLAGS), "flagged")
+    own = materialize(own.join(mixed, "key", "left_semi").select("key", "doc_id", "n", "band", "component"), "mixed-members")
+    spread = in_pairs_of_blocks(own).join(reps.drop("n"), "doc_id")
+    spread = spread.select("key", "a", "b", "side", "doc_id", "component", "sketch", "bands", "band")
+    in_blocks = lambda df, size: df.repartition(partitions(spark, size), "key", "a", "b").sortWithinPartitions("key", "a", "b")
+    spread = materialize(spread, "blocks")
+    flagged = materialize(in_blocks(spread, spread.count() * 500).mapInArrow(_flag(limit), FLAGS), "flagged")  # bytes of a row
     if not flagged.isEmpty():
         of = texts_of(flagged.select("doc_id"), "texts")
-        last = in_blocks(flagged.join(of, "doc_id").select("key", "a", "b", "side", "doc_id", "component", "text"))
-        found.append(materialize(last.mapInArrow(_link_blocks(width, percent), "u long, v long"), "links"))
+        last = flagged.join(of, "doc_id").select("key", "a", "b", "side", "doc_id", "component", "text")
+        found.append(materialize(in_blocks(last, documents.bytes).mapInArrow(_link_blocks(width, percent), "u long, v long"), "links"))
     if found:
         comps = materialize(components(reduce(DataFrame.unionByName, found, links)), "components")
 
     ids = profile.select("doc_id", "n", "g1", "g2").join(classes, ["g1", "g2", "n"], "left")
-    grouped = ids.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep", "doc_id")
-    return grouped.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    ids = ids.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    return ids.select(F.col("doc_id").alias("number"), "n", F.coalesce("component", "rep", "doc_id").alias("component"))
 
 
-def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """docs without those that near-duplicate a smaller doc_id; rows without a doc_id go."""
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+def in_pairs_of_blocks(own: DataFrame) -> DataFrame:
+    """(key, a, b, side, doc_id, component, band) of members own(key, doc_id, n, band, component) of buckets: each in every pair of its bucket's blocks that can hold a pair across components.
+
+    A component of a block's size or more has blocks of its own, which don't meet each other; the smaller ones share blocks. So a bucket of one large component and a few
+    others takes rows in proportion to its size.
+    """
+    blocks = lambda n, shingles: F.ceil(F.greatest(n / F.lit(BLOCK), shingles / F.lit(BLOCK_SHINGLES))).cast("long")
+    sizes = own.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n").alias("shingles"))
+    sizes = sizes.withColumn("large", (F.col("n") >= BLOCK) | (F.col("shingles") >= BLOCK_SHINGLES))
+    groups = sizes.groupBy("key", F.when(F.col("large"), F.col("component")).alias("part")).agg(blocks(F.sum("n"), F.sum("shingles")).alias("blocks"))  # part: null for the small ones
+    groups = materialize(groups, "parts")
+    every = groups.select("key", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"))
+    every = every.select("key", F.struct("part", "i").alias("other"))
+    mine = own.join(sizes.where("large").select("key", "component", F.lit(True).alias("_large")), ["key", "component"], "left")
+    mine = mine.withColumn("part", F.when(F.col("_large"), F.col("component")))
+    counts = groups.select("key", F.col("part").alias("_part"), "blocks")
+    mine = mine.join(counts, (mine["key"] == counts["key"]) & mine["part"].eqNullSafe(counts["_part"])).drop(counts["key"])
+    mine = mine.select("key", "doc_id", "component", "band", F.struct("part", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("i")).alias("home"))
+    pairs = mine.join(every, "key").where(F.col("home.part").isNull() | ~F.col("home.part").eqNullSafe(F.col("other.part")))
+    name = lambda c: F.xxhash64(F.coalesce(F.col(f"{c}.part"), F.lit(-1)), F.col(f"{c}.part").isNull(), F.col(f"{c}.i"))
+    s, t = name("home"), name("other")
+    return pairs.select("key", F.least(s, t).alias("a"), F.greatest(s, t).alias("b"), F.when(s == t, 2).when(s < t, 0).otherwise(1).cast("long").alias("side"), "doc_id", "component", "band")
+
+
+def keep_first(docs: DataFrame, width: int = 5, percent: int = 80, without_id: bool = False) -> DataFrame:
+    """One document of each group of near duplicates of docs, the one of the smallest doc_id; rows without a doc_id go, unless without_id."""
+    names = docs.columns
+    documents = Documents.of(docs, without_id, (F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),))
+    kept = grouped(documents, width, percent).where("number = component").select("number").distinct()
+    rows = documents.texts.select("number", "_row").join(kept, "number", "left_semi")
+    if documents.keys is not None:
+        rows = rows.dropDuplicates(["number"])  # copies under one id
+    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])

@@ -24,7 +24,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return egojoin.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.95)
+    return egojoin.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.95, every_row=True)
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,11 +52,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(documents(spark, sf_dir), width=4, percent=80)
+    return minhash.near_duplicates(documents(spark, sf_dir), width=4, percent=80, without_id=True)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixdedup.digests(documents(spark, sf_dir))
+    return suffixdedup.digests(documents(spark, sf_dir), without_id=True)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

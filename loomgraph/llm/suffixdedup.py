@@ -5,15 +5,17 @@ Every byte covered by a LENGTH-byte string that also starts earlier (smaller doc
 1. Sampling. Of the GRAM-byte strings in each LENGTH-byte window, the one with the least hash, leftmost among equals, is the window's anchor. The choice depends
    on the window's content alone, so equal windows have equal anchors, at the same place within. Only suffixes at anchors (about one byte in 32) are sorted.
 2. Classes. Anchors whose whole contexts (the windows they stand for) are equal form a class; all windows of all members but the first are repeats.
-   Classes are first formed within a task, so that of a passage in many documents each task sends one row.
+   Classes are first formed within a task, so that of a passage in many documents each task sends one row. Equality within an anchor's group, of at most HOT classes
+   or else step 4, is by a 64-bit BLAKE2 digest.
 3. Deep-shallow sorting. Where classes share an anchor's hash, their suffixes from the anchor, and the reversed prefixes before it, are sorted: a multikey sort
    by eight-byte characters to a shallow depth, then blind tries for the groups that still share a prefix. The
    longest common prefixes of neighbours tell which windows agree at each distance from the anchor; all but the first of each are repeats.
-4. An anchor hash with more than HOT classes in one task is spread: its windows are grouped by their own 128-bit
-   hashes instead, of which each task sends the first; minima are combined before the shuffle. So no group of unbounded size meets in a task.
+4. An anchor hash with more than HOT classes, in one task or in all, is spread: its windows are grouped by 128-bit BLAKE2 digests
+   of their own instead, of which each task sends the first; minima are combined before the shuffle. So no group of unbounded size is held in a task.
 
-Null texts count as empty. Rows without a doc_id are left out. Rows repeated under one doc_id count as one document and give a result
-each. Tables without rows give none. Columns other than doc_id and text are ignored, whatever their names.
+Null texts count as empty. Rows without a doc_id are left out, or with without_id=True come after all others, each text a document of its own. Rows that repeat both an id and its text
+count as one document and give a result each; different texts under one id are different documents, in the order of a hash of the text. Tables without rows give none. Columns
+other than doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import materialize, prepare
+from loomgraph.llm.common import Documents, materialize, partitions, prepare
+from loomgraph.plans.lineage import broadcast_if_small
 
 LENGTH = 100
 GRAM = 37
@@ -118,11 +121,16 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return pos, first, last, grams[pos], hashed
 
 
-def contexts(hashed: Hashed, pos: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each anchor's windows, with where it stands in them, from two independent ones."""
-    end = hi + LENGTH
-    h = mix(hashed.raw(0, lo, end)) + mix(hashed.raw(1, lo, end) ^ np.uint64(0xA5A5A5A5A5A5A5A5)) * np.uint64(3)
-    return mix(h ^ (((pos - lo) << 8 | (hi - lo)).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)))
+def digests_of(raw: bytes, lo: np.ndarray, hi: np.ndarray, longs: int) -> np.ndarray:
+    """Cryptographic digests of raw[lo:hi], as rows of so many 64-bit numbers."""
+    size = 8 * longs
+    return np.frombuffer(b"".join([hashlib.blake2b(raw[a:b], digest_size=size).digest() for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]), dtype=np.uint64).reshape(-1, longs)
+
+
+def contexts(raw: bytes, pos: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A 64-bit digest of each anchor's windows, with where it stands in them."""
+    place = ((pos - lo) << 8 | (hi - lo)).astype(np.uint64)
+    return digests_of(raw, lo, hi + LENGTH, 1)[:, 0] ^ place * np.uint64(0x9FB21C651E98DF25)
 
 
 def runs(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,16 +171,16 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = 0
 
     def segment(ids: list[int], shifts: list[int], texts: list[bytes]) -> tuple | None:
-        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        raw = b"".join(texts)
         ends = np.cumsum([len(t) for t in texts])
-        pos, lo, hi, h, hashed = anchors(data, ends)
+        pos, lo, hi, h, _ = anchors(np.frombuffer(raw, dtype=np.uint8), ends)
         if not len(pos):
             return None
-        c = contexts(hashed, pos, lo, hi)
+        c = contexts(raw, pos, lo, hi)
         which = np.searchsorted(ends, lo, side="right")
         base = np.concatenate([[0], ends[:-1]])[which] - np.array(shifts, dtype=np.int64)[which]
         # hot anchors need their windows' own hashes: kept by reference until the task's classes are known
-        return h, c, np.array(ids, dtype=np.int64)[which], pos - base, lo - base, hi - base, base, data
+        return h, c, np.array(ids, dtype=np.int64)[which], pos - base, lo - base, hi - base, base, raw
 
     def flush() -> Iterator[pa.RecordBatch]:
         h, c, doc, pos, lo, hi, base = (np.concatenate([x[k] for x in held]) for k in range(7))
@@ -201,7 +209,7 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = []
                 for k in np.unique(part[some]):
                     at = some[part[some] == k]
-                    found.append(windows(Hashed(held[k][7]), doc[at], lo[at], hi[at], base[at]))
+                    found.append(windows(held[k][7], doc[at], lo[at], hi[at], base[at]))
                 yield from first_windows(*(np.concatenate(x) for x in zip(*found, strict=True)))
         held.clear()
 
@@ -232,13 +240,13 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-def windows(hashed: Hashed, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The windows from lo to hi of anchors in one segment: two hashes, document, start."""
+def windows(raw: bytes, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The windows from lo to hi of anchors in one segment: a digest in two parts, document, start."""
     n = hi - lo + 1
     start = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     p = start + np.repeat(base, n)
-    a, b = mix(hashed.raw(0, p, p + LENGTH)), mix(hashed.raw(1, p, p + LENGTH))
-    return a, b, np.repeat(doc, n), start
+    d = digests_of(raw, p, p + LENGTH, 2)
+    return d[:, 0], d[:, 1], np.repeat(doc, n), start
 
 
 def first_windows(a: np.ndarray, b: np.ndarray, doc: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -274,17 +282,24 @@ def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (h, c, doc_id, at): spans of classes' further members, and the first members of classes that share an anchor hash, with the ext of anchors.
-    Of hashes called hot all first members come with the low bit of c set, else it is clear."""
-    for h, c, doc, at, ext in grouped(batches):
-        span = ext == SPAN
-        if span.any():
-            yield from rows_of(h[span], c[span], doc[span], at[span], ext[span])
-        beacons = np.unique(h[ext == BEACON])
-        keep = ext >= 0
-        h, c, doc, at, ext = (x[keep] for x in (h, c, doc, at, ext))
-        if not len(h):
+    """Rows sorted by (h, c, doc_id, at): spans of classes' further members, the first members of classes that share an anchor hash, with the ext of anchors, and
+    word of the hashes with more than HOT classes. Other rows pass.
+
+    Holds a batch and the first member of the last class, however many rows share a hash.
+    """
+    last: list[np.ndarray] | None = None  # the first member of the class that the next batch may go on with
+    count, sent = 0, False  # classes of its hash so far; whether that member has been sent
+    for batch in batches:
+        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        other = cols[4] < 0
+        if other.any():
+            yield from rows_of(*[x[other] for x in cols])
+            cols = [x[~other] for x in cols]
+        if not len(cols[0]):
             continue
+        if last is not None:
+            cols = [np.concatenate(x) for x in zip(last, cols, strict=True)]
+        h, c, doc, at, ext = cols
         new_h = np.concatenate([[True], h[1:] != h[:-1]])
         new = new_h | np.concatenate([[True], c[1:] != c[:-1]])
         first = np.flatnonzero(new)[np.cumsum(new) - 1]
@@ -292,11 +307,19 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lo = at - (ext >> 8)
         d, a, b = runs(doc[again], lo[again], lo[again] + (ext[again] & 255) + LENGTH)
         yield from rows_of(np.zeros(len(d), np.int64), b, d, a, np.full(len(d), SPAN))
-        group = np.cumsum(new_h) - 1
-        classes = np.bincount(group, weights=new)[group]
-        hot = np.isin(h, beacons)
-        need = new & ((classes > 1) | hot)
-        yield from rows_of(h[need], hot[need].astype(np.int64), doc[need], at[need], ext[need])
+        starts = np.flatnonzero(new_h)
+        known = np.zeros(len(starts), dtype=np.int64)  # classes counted before this batch
+        old = np.zeros(len(h), dtype=bool)
+        if last is not None:
+            known[0], old[0] = count, sent
+        total = np.add.reduceat(new.astype(np.int64), starts) + np.maximum(known - 1, 0)
+        send = new & ~old & (total[np.cumsum(new_h) - 1] > 1)
+        yield from rows_of(h[send], np.zeros(int(send.sum()), np.int64), doc[send], at[send], ext[send])
+        hot = h[starts[(total > HOT) & (known <= HOT)]]
+        zero = np.zeros(len(hot), dtype=np.int64)
+        yield from rows_of(hot, zero, zero, zero, np.full(len(hot), BEACON))
+        j = int(first[-1])
+        last, count, sent = [x[j : j + 1] for x in cols], int(total[-1]), bool(old[j] or send[j])
 
 
 def blind_trie(strings: list[bytes], depth: int) -> tuple[list[int], list[int]]:
@@ -438,22 +461,27 @@ CONTEXTS = "h long, doc_id long, at long, ext int, context binary"
 
 
 def _fetch(hot: bool):
-    """Of documents with the anchors wanted of them: their contexts, or their windows by hash."""
+    """Of documents with the anchors wanted of them: their contexts, or their windows by digest, of equal ones in a batch the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
+            found: list[tuple] = []
             for i, t, wanted in zip(batch.column(0).to_pylist(), texts_of(batch, 1), batch.column(2).to_pylist(), strict=True):
-                own = [(w["h"], w["at"], w["ext"]) for w in wanted if bool(w["c"]) == hot]
+                own = np.array([(w["h"], w["at"], w["ext"]) for w in wanted if w["hot"] == hot], dtype=np.int64).reshape(-1, 3)
+                lo = own[:, 1] - (own[:, 2] >> 8)
+                hi = lo + (own[:, 2] & 255)
                 if hot:
-                    for _, at, ext in own:
-                        lo = at - (ext >> 8)
-                        hashed = Hashed(np.frombuffer(t[lo : lo + (ext & 255) + LENGTH], dtype=np.uint8))
-                        yield from first_windows(*windows(hashed, np.array([i]), np.array([lo]), np.array([lo + (ext & 255)]), np.array([-lo])))
+                    for k in range(0, len(own), HOT_ANCHORS):
+                        part = slice(k, k + HOT_ANCHORS)
+                        found.append(windows(t, np.full(len(lo[part]), i), lo[part], hi[part], np.zeros(len(lo[part]), dtype=np.int64)))
+                        if sum(len(x[0]) for x in found) > 64 * HOT_ANCHORS // 4:
+                            yield from first_windows(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                            found = []
                 else:
-                    for h, at, ext in own:
-                        lo = at - (ext >> 8)
-                        out.append((h, i, at, ext, t[lo : lo + (ext & 255) + LENGTH]))
+                    out += [(h, i, at, ext, t[a : b + LENGTH]) for (h, at, ext), a, b in zip(own.tolist(), lo.tolist(), hi.tolist(), strict=True)]
+            if found:
+                yield from first_windows(*(np.concatenate(x) for x in zip(*found, strict=True)))
             if out:
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary())], names=["h", "doc_id", "at", "ext", "context"])
@@ -461,55 +489,35 @@ def _fetch(hot: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans): the byte spans [start, end) that repeat earlier ones, for documents that have any; spans may touch or overlap."""
-    spark = docs.sparkSession
+def repeated_spans(documents: Documents) -> DataFrame:
+    """(number, spans): the byte spans [start, end) that repeat earlier ones, for documents that have any; spans may touch or overlap."""
+    texts = documents.texts.select(F.col("number").alias("doc_id"), "text")
+    spark = texts.sparkSession
     prepare(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    parts = partitions(spark, 2 * documents.bytes)  # rows of anchors are about twice as large as the texts
     rows = texts.mapInArrow(_sample, ROWS_SQL)
     by_anchor = rows.repartition(parts, F.when(F.col("ext") == HASHED, F.xxhash64("h", "c")).otherwise(F.col("h")))
-    found = by_anchor.sortWithinPartitions("h", "c", "doc_id", "at").mapInArrow(_keep_hashed(_classes), ROWS_SQL)
+    found = by_anchor.sortWithinPartitions("h", "c", "doc_id", "at").mapInArrow(_classes, ROWS_SQL)
     found = materialize(found, "repeats")
-    wanted = found.where("ext >= 0").groupBy("doc_id").agg(F.collect_list(F.struct("h", "c", "at", "ext")).alias("wanted"))
-    with_text = texts.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "wanted")
+    wanted = found.where("ext >= 0").select("h", "doc_id", "at", "ext")
+    beacons = materialize(found.where(f"ext = {BEACON}").select("h").distinct(), "beacons")
+    if beacons.isEmpty():
+        wanted = wanted.withColumn("hot", F.lit(False))
+    else:
+        wanted = wanted.join(broadcast_if_small(beacons.withColumn("hot", F.lit(True))), "h", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    wanted = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("h", "hot", "at", "ext")).alias("wanted"))  # those of one text
+    with_text = texts.join(wanted, "doc_id").select("doc_id", "text", "wanted")
     context = with_text.mapInArrow(_fetch(False), CONTEXTS)
     by_suffix = context.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_sorted, ROWS_SQL)
     spans = found.where(f"ext = {SPAN}").unionByName(by_suffix).select("doc_id", F.col("at").alias("start"), F.col("c").alias("end"))
-    if not found.where(f"ext = {HASHED} OR (ext >= 0 AND c = 1)").isEmpty():
+    if not (beacons.isEmpty() and found.where(f"ext = {HASHED}").isEmpty()):
         of_hot = materialize(found.where(f"ext = {HASHED}").unionByName(with_text.mapInArrow(_fetch(True), ROWS_SQL)), "windows")
         spans = spans.unionByName(of_hot.where(f"ext = {SPAN}").select("doc_id", F.col("at").alias("start"), F.col("c").alias("end")))
         of_hot = of_hot.where(f"ext = {HASHED}").select("h", "c", "doc_id", "at")
         first = of_hot.groupBy("h", "c").agg(F.min(F.struct("doc_id", "at")).alias("first"))
         later = of_hot.join(first, ["h", "c"]).where(F.struct("doc_id", "at") > F.col("first"))
         spans = spans.unionByName(later.select("doc_id", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end")))
-    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # the spans of one text
-
-
-def _keep_hashed(then):
-    """Rows of hot windows pass by then."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
-        aside: list[pa.RecordBatch] = []
-
-        def others() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                hashed = pc.equal(batch.column(4), HASHED)
-                if pc.any(hashed).as_py():
-                    aside.append(batch.filter(hashed))
-                    batch = batch.filter(pc.invert(hashed))
-                yield batch
-
-        for out in then(others()):
-            while aside:
-                yield aside.pop()
-            yield out
-        while aside:
-            yield aside.pop()
-
-    return run
+    return spans.groupBy(F.col("doc_id").alias("number")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # the spans of one text
 
 
 def merged(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
@@ -546,13 +554,15 @@ def whole_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
-def _with_spans(docs: DataFrame, *keep: Column) -> DataFrame:
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
-    return texts.join(repeated_spans(docs).hint("shuffle_hash"), "doc_id", "left")
+def _with_spans(docs: DataFrame, without_id: bool, *keep: Column) -> DataFrame:
+    """(doc_id, text, spans, ...) of docs."""
+    documents = Documents.of(docs, without_id, (F.col("doc_id").alias("_doc_id"), *keep))
+    joined = documents.texts.join(repeated_spans(documents), "number", "left").drop("number")
+    return joined.withColumnRenamed("_doc_id", "doc_id")
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of docs(doc_id, text): the spans are the maximal runs of removed bytes."""
+def digests(docs: DataFrame, without_id: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of docs(doc_id, text): the spans are the maximal runs of removed bytes. without_id: whether rows without a doc_id count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -565,11 +575,11 @@ def digests(docs: DataFrame) -> DataFrame:
                 sha.append(hashlib.sha256(without(t, spans)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.int64()) for x in (n, gone, count)], pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _with_spans(docs).select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _with_spans(docs, without_id).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def cut(docs: DataFrame) -> DataFrame:
-    """docs with repeated spans taken out of text, whole characters only, and n_chars after that; other columns stay as they were. Rows without a doc_id go."""
+def cut(docs: DataFrame, without_id: bool = False) -> DataFrame:
+    """docs with repeated spans taken out of text, whole characters only, and n_chars after that; other columns stay as they were. Rows without a doc_id go, unless without_id."""
     names = docs.columns
     others = [c for c in names if c not in ("doc_id", "text")]
     row = F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row") if others else F.struct(F.lit(0).alias("_none")).alias("_row")
@@ -584,10 +594,10 @@ def cut(docs: DataFrame) -> DataFrame:
                 out.append(t)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), batch.column(2)], names=["doc_id", "text", "_row"])
 
-    joined = _with_spans(docs, row).select("doc_id", "text", "_row", "spans")
+    joined = _with_spans(docs, without_id, row).select("doc_id", "text", "_row", "spans")
     done = joined.drop("spans")
     done = joined.mapInArrow(run, done.schema)
-    get = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("text")}
+    get = {"doc_id": F.col("doc_id"), "text": F.col("text")}
     if "n_chars" in names:
         get["n_chars"] = F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
     return done.select(*[get.get(c, F.col(f"_row.`{c}`")).alias(c) for c in names])
