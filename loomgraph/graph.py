@@ -11,10 +11,11 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from loomgraph import operators
-from loomgraph.errors import GraphBindError, VertexRangeError
+from loomgraph.errors import GraphBindError, GraphIOError, VertexRangeError
 from loomgraph.functions.scalar import register_banner, register_paths
 from loomgraph.functions.table import register_tables
 from loomgraph.metadata import DEGREE_ID, EdgeInfo, GraphInfo, load_edge, load_graph
+from loomgraph.operators.paths import BROADCAST_EDGES
 from loomgraph.sources import reader
 
 log = logging.getLogger("loomgraph")
@@ -40,6 +41,7 @@ class Graph:
     def __init__(self, spark: SparkSession, info: GraphInfo):
         self.spark, self.info = spark, info
         self._views: list[str] = []
+        self._paths = False
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, refresh: bool = False) -> Graph:
@@ -96,17 +98,21 @@ class Graph:
             return quick.withColumnRenamed("vid", DEGREE_ID)
         return operators.degrees(self._pairs(e), self.vertex_count(e.src if by == "src" else e.dst), by)
 
+    def _own(self, e: EdgeInfo, vid: int) -> DataFrame:
+        """The edges from a vertex, from its part folder."""
+        return self.neighbors(e.triple, vid, columns=())
+
     def two_hop(self, triple: Triple | None, vid: int) -> DataFrame:
         e = self._edge(triple)
-        return operators.two_hop(self._pairs(e), self._check(e.src, vid))
+        return operators.two_hop(self._pairs(e), vid, self._own(e, vid))
 
     def two_hop_paths(self, triple: Triple | None, vid: int) -> DataFrame:
         e = self._edge(triple)
-        return operators.two_hop_paths(self._pairs(e), self._check(e.src, vid))
+        return operators.two_hop_paths(self._pairs(e), vid, self._own(e, vid))
 
     def one_more_hop(self, triple: Triple | None, vid: int) -> DataFrame:
         e = self._edge(triple)
-        return operators.one_more_hop(self._pairs(e), self._check(e.src, vid))
+        return operators.one_more_hop(self._pairs(e), vid, self._own(e, vid))
 
     def _searchable(self, triple: Triple | None) -> EdgeInfo:
         e = self._edge(triple)
@@ -126,31 +132,57 @@ class Graph:
         """Names of the vertex tables, then of the edge tables."""
         return [v.table for v in self.info.vertices] + [e.table for e in self.info.edges]
 
-    def attach(self, paths: bool = True) -> list[str]:
+    def attach(self, paths: bool | None = None, alias: str | None = None, broadcast_edges: int = BROADCAST_EDGES) -> list[str]:
         """A temporary view for each table (quote their names: they hold a dot), and the SQL functions of the first edge type. Read-only.
 
-        Path functions broadcast that type's edges here, whatever their number; paths=False does without.
+        No edge is read here, unless for path functions: they are made at once where counts beside the edges say that there are few enough to broadcast, or with
+        paths=True; else with_paths() makes them, which graph_sql calls for a statement that needs them. Tables whose files are missing are named, but have no view.
+        alias: a name that the views also have before their own, as in `alias.Person.vertex`, so that several graphs can be attached.
         """
         register_banner(self.spark)
-        for v in self.info.vertices:
-            self.vertices(v.type).createOrReplaceTempView(f"`{v.table}`")
-        for e in self.info.edges:
-            self.edges(*e.triple).createOrReplaceTempView(f"`{e.table}`")
-        self._views = self.tables()
+        attached = self.spark.sparkContext.__dict__.setdefault("_loomgraph_attached", {})
+        attached.pop(alias or self.info.name, None)
+        attached[alias or self.info.name] = self
+        self._views = []
+        for table, make in [(v.table, lambda v=v: self.vertices(v.type)) for v in self.info.vertices] + [(e.table, lambda e=e: self.edges(*e.triple)) for e in self.info.edges]:
+            try:
+                self._view(table, make(), alias)
+            except GraphIOError as e:
+                log.warning("%s has no view: %s", table, e)
+        self._paths = False
         if self.info.edges:
             e = self.info.edges[0]
-            view = f"{e.table}.degrees"
-            self.degrees(e.triple).createOrReplaceTempView(f"`{view}`")
-            self._views.append(view)
-            register_tables(self.spark, e.table, view)
-            if paths and e.src == e.dst:
-                register_paths(self.spark, self._pairs(e))
+            try:
+                self._view(f"{e.table}.degrees", self.degrees(e.triple), alias)
+                register_tables(self.spark, e.table, f"{e.table}.degrees")
+            except GraphIOError as missing:
+                log.warning("%s has no functions: %s", e.table, missing)
+                return self.tables()
+            if e.src == e.dst and (paths or paths is None and (self._edge_count(e) or broadcast_edges + 1) <= broadcast_edges):
+                self.with_paths()
         return self.tables()
 
+    def _view(self, name: str, df: DataFrame, alias: str | None) -> None:
+        for view in [name] + ([f"{alias}.{name}"] if alias else []):
+            df.createOrReplaceTempView(f"`{view}`")
+            self._views.append(view)
+
+    def _edge_count(self, e: EdgeInfo) -> int | None:
+        return reader.edge_count(self.spark, self.info.directory, e)
+
+    def with_paths(self) -> None:
+        """The SQL functions bfs_length and bfs_exist, if they aren't there: broadcasts the edges of the first type, in pieces if there are many."""
+        if not self._paths:
+            register_paths(self.spark, self._pairs(self._searchable(None)))
+            self._paths = True
+
     def detach(self) -> None:
         for v in self._views:
             self.spark.sql(f"DROP VIEW IF EXISTS `{v}`")
-        self._views = []
+        self._views, self._paths = [], False
+        attached = self.spark.sparkContext.__dict__.get("_loomgraph_attached", {})
+        for name in [n for n, g in attached.items() if g is self]:
+            del attached[name]
 
 
 def read_vertices(spark: SparkSession, path: str, type: str, columns: Iterable[str] | None = None) -> DataFrame:

@@ -26,25 +26,29 @@ def _second(edges: DataFrame, first: DataFrame) -> DataFrame:
     return broadcast_if_small(steps).join(_ids(edges), F.col("_via") == F.col(SRC_INDEX))
 
 
-def two_hop(edges: DataFrame, vid: int) -> DataFrame:
-    """The edges from vid, and for each of them, with multiplicity, the edges that go on from its end."""
-    first = _ids(neighbors(edges, vid))
+def _first(edges: DataFrame, vid: int, own: DataFrame | None) -> DataFrame:
+    return _ids(neighbors(edges, vid) if own is None else own)
+
+
+def two_hop(edges: DataFrame, vid: int, own: DataFrame | None = None) -> DataFrame:
+    """The edges from vid, and for each of them, with multiplicity, the edges that go on from its end. own: the edges from vid, where they can be read apart from the others."""
+    first = _first(edges, vid, own)
     return first.unionAll(_second(edges, first).select(SRC_INDEX, DST_INDEX))
 
 
-def two_hop_paths(edges: DataFrame, vid: int) -> DataFrame:
+def two_hop_paths(edges: DataFrame, vid: int, own: DataFrame | None = None) -> DataFrame:
     """(src, mid, dst) for every path of two edges from vid."""
-    first = _ids(neighbors(edges, vid))
+    first = _first(edges, vid, own)
     return _second(edges, first).select(F.col("_from").alias("src"), F.col("_via").alias("mid"), F.col(DST_INDEX).alias("dst"))
 
 
-def closing_edges(edges: DataFrame, vid: int) -> DataFrame:
+def closing_edges(edges: DataFrame, vid: int, own: DataFrame | None = None) -> DataFrame:
     """The edges between neighbours of vid, that close triangles through it."""
-    around = broadcast_if_small(_ids(neighbors(edges, vid)).select(F.col(DST_INDEX).alias("_n")).distinct())
+    around = broadcast_if_small(_first(edges, vid, own).select(F.col(DST_INDEX).alias("_n")).distinct())
     e = _ids(edges)
     return e.join(around, e[SRC_INDEX] == around["_n"], "left_semi").join(around, e[DST_INDEX] == around["_n"], "left_semi")
 
 
-def one_more_hop(edges: DataFrame, vid: int) -> DataFrame:
+def one_more_hop(edges: DataFrame, vid: int, own: DataFrame | None = None) -> DataFrame:
     """The edges from vid and those between its neighbours."""
-    return _ids(neighbors(edges, vid)).unionAll(closing_edges(edges, vid))
+    return _first(edges, vid, own).unionAll(closing_edges(edges, vid, own))

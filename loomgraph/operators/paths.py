@@ -1,6 +1,6 @@
 """Breadth-first shortest paths over directed edges, for many pairs at once.
 
-Small graphs (by a count of their edges) are broadcast as sorted arrays, and each pair is searched where it lies. Larger ones are
+A few pairs are looked for among the edges from their sources first, which pushes down to the scan. For the others, small graphs (by a count of their edges) are broadcast as sorted arrays, and each pair is searched where it lies. Larger ones are
 traversed level by level: the frontier (source, vertex) is joined with the edges, reached vertices are left out by an anti
 join, and every level is written to the shared folder, so that a lost executor costs no more than its level. A source whose pairs all have answers is dropped.
 """
@@ -8,6 +8,7 @@ join, and every level is written to the shared folder, so that a lost executor c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,10 @@ from loomgraph.plans.lineage import at_most, broadcast_if_small, materialize, sh
 #: Edges up to this number are broadcast: 8 bytes each.
 BROADCAST_EDGES = 4_000_000
 UNREACHED = -1
+#: Pairs up to this number are answered from the edges of their sources alone, if they are one edge apart.
+FEW_PAIRS = 64
+#: Pairs with one source that a task searches for at a time, and levels after which the tables of a traversal are made one.
+TARGETS, LEVELS = 100_000, 8
 
 
 class Adjacency:
@@ -56,7 +61,7 @@ def _ids(edges: DataFrame) -> DataFrame:
     return edges.select(F.col(SRC_INDEX).cast("long").alias("s"), F.col(DST_INDEX).cast("long").alias("d"))
 
 
-def _broadcast(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+def _broadcast(pairs: DataFrame, edges: DataFrame, slices: int = 8) -> DataFrame:
     ship(edges.sparkSession)
     got = _ids(edges).toArrow()
     shared = edges.sparkSession.sparkContext.broadcast((got.column("s").to_numpy(), got.column("d").to_numpy()))
@@ -68,8 +73,8 @@ def _broadcast(pairs: DataFrame, edges: DataFrame) -> DataFrame:
                 known = graph.levels(src, set(dsts))
                 yield pa.RecordBatch.from_arrays([pa.array([src] * len(dsts), pa.int64()), pa.array(dsts, pa.int64()), pa.array([known.get(d, UNREACHED) for d in dsts], pa.int64())], names=["src", "dst", "bfs_length"])
 
-    # a source with very many targets is searched in a few tasks
-    by_source = pairs.groupBy("src", F.pmod(F.col("dst"), F.lit(8)).alias("_slice")).agg(F.collect_set("dst").alias("dsts"))
+    # a source with very many targets is searched in several tasks
+    by_source = pairs.groupBy("src", F.pmod(F.xxhash64("dst"), F.lit(slices)).alias("_slice")).agg(F.collect_set("dst").alias("dsts"))
     return by_source.select("src", "dsts").mapInArrow(run, "src long, dst long, bfs_length long")
 
 
@@ -91,6 +96,9 @@ def bfs_levels(edges: DataFrame, sources: DataFrame, targets: DataFrame | None =
         depth += 1
         levels.append(level.withColumn("depth", F.lit(depth).cast("long")))
         seen = seen.unionByName(level)
+        if depth % LEVELS == 0:  # plans must not grow with the depth of a graph
+            levels = [materialize(reduce(DataFrame.unionByName, levels), "bfs-levels")]
+            seen = levels[0].select("src", "vertex")
     out = levels[0]
     for x in levels[1:]:
         out = out.unionByName(x)
@@ -102,17 +110,47 @@ def bfs_length(edges: DataFrame, pairs: DataFrame, vertices: int | None = None,
 
     vertices: the number of vertices; an id outside raises VertexRangeError.
     """
+    some = pairs.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+    few = some.limit(FEW_PAIRS + 1).collect()
+    if len(few) <= FEW_PAIRS:
+        return _of_few(edges, pairs, [tuple(r) for r in few], vertices, broadcast_edges)
     if vertices is not None:
         outside = pairs.where(~F.col("src").between(0, vertices - 1) | ~F.col("dst").between(0, vertices - 1)).select("src", "dst").first()
         if outside is not None:
             raise VertexRangeError(tuple(outside))
-    asked = pairs.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct()
+    asked = some.where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct()
+    return _with_lengths(pairs, _search(edges, asked, broadcast_edges))
+
+
+def _search(edges: DataFrame, asked: DataFrame, broadcast_edges: int) -> DataFrame:
+    """(src, dst, bfs_length) of distinct pairs; those without a path have UNREACHED or no row."""
     if at_most(_ids(edges), broadcast_edges):
-        found = _broadcast(asked, edges)
-    else:
         asked = materialize(asked, "pairs")
-        reached = bfs_levels(edges, asked, asked).select("src", F.col("vertex").alias("dst"), F.col("depth").alias("bfs_length"))
-        found = asked.join(reached, ["src", "dst"])
+        return _broadcast(asked, edges, max(8, asked.count() // TARGETS))
+    asked = materialize(asked, "pairs")
+    reached = bfs_levels(edges, asked, asked).select("src", F.col("vertex").alias("dst"), F.col("depth").alias("bfs_length"))
+    return asked.join(reached, ["src", "dst"])
+
+
+def _of_few(edges: DataFrame, pairs: DataFrame, few: list[tuple], vertices: int | None, broadcast_edges: int) -> DataFrame:
+    """bfs_length() of pairs that hold these few alone."""
+    spark = pairs.sparkSession
+    if vertices is not None:
+        for p in few:
+            if any(v is not None and not 0 <= v < vertices for v in p):
+                raise VertexRangeError(p)
+    asked = {p for p in few if None not in p and p[0] != p[1]}
+    found = []
+    if asked:
+        ids = _ids(edges).where(F.col("s").isin(sorted({s for s, _ in asked})) & F.col("d").isin(sorted({d for _, d in asked})))
+        found = [(*p, 1) for p in asked & {tuple(r) for r in ids.groupBy("s", "d").agg(F.lit(1)).select("s", "d").collect()}]
+    known = spark.createDataFrame(found, "src long, dst long, bfs_length long")
+    if left := asked - {x[:2] for x in found}:
+        known = known.unionByName(_search(edges, spark.createDataFrame(sorted(left), "src long, dst long"), broadcast_edges))
+    return _with_lengths(pairs, F.broadcast(known))
+
+
+def _with_lengths(pairs: DataFrame, found: DataFrame) -> DataFrame:
     out = pairs.join(found, ["src", "dst"], "left").select(*pairs.columns, F.col("bfs_length").alias("_found"))
     known = F.when(F.col("src").isNull() | F.col("dst").isNull(), None).when(F.col("src") == F.col("dst"), 0).otherwise(F.coalesce("_found", F.lit(UNREACHED)))
     return out.select(*pairs.columns, known.cast("long").alias("bfs_length"))

@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgraph.errors import GraphIOError
+
 #: Used only where the session names no shared folder, as in tests.
 FALLBACK_DIR = "/tmp/checkpoints/loomgraph"
 #: Rows up to which a side of a join is broadcast: edges of two 8-byte ids, 16 MB and a few times that as a hash table.
@@ -32,9 +34,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as spark.checkpoint.dir names it."""
+    """The folder that all executors share, as spark.checkpoint.dir names it. Without that setting a local session gets one, a cluster's is refused: executors wouldn't see each other's files."""
     given = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not given:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise GraphIOError("spark.checkpoint.dir isn't set: tables between stages need a folder that all executors share")
         given = FALLBACK_DIR
         os.makedirs(given, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", given)
@@ -42,10 +47,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df once as a table in the shared folder and read it back."""
+    """Write df once as a table in the shared folder and read it back. The table is deleted when the driver ends, if not before."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomgraph/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out._loomgraph_path = path
     return out

@@ -2,7 +2,9 @@
 
 A set of chunk files is one Spark scan with a declared schema: Catalyst prunes columns, pushes filters and skips row groups. Property
 groups that aren't asked for are never opened. Vertex groups are joined on the vertex index. Edge groups hold no ids and are aligned by position, so
-they are joined on (file, row): rows are numbered by the Parquet reader itself, for other formats as a chunk is parsed.
+they are joined on (part, chunk, row): rows are numbered by the Parquet reader itself, for other formats as a chunk is parsed.
+
+Where side files hold counts, the number of chunk files that they imply is compared with that of the files there, so that a missing chunk is an error and not a smaller result.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +23,13 @@ from loomgraph.errors import GraphBindError, GraphIOError, VertexRangeError
 from loomgraph.metadata import DST_INDEX, SRC_INDEX, VERTEX_INDEX, AdjacencyInfo, EdgeInfo, GraphInfo, PropertyGroup
 from loomgraph.plans.lineage import ship
 from loomgraph.sources import layout
+from loomgraph.sources.files import Files
 
 #: fixed value: the column of offset files
 OFFSET_COLUMN = "_graphArOffset"
-_PLACE = ["_file", "_row"]
+_PLACE = ["_part", "_chunk", "_row"]
+#: Part folders whose counts the driver reads one by one; those of more are read by a job.
+FEW_PARTS = 256
 
 
 def scan(spark: SparkSession, file_type: str, fields: list[T.StructField], paths: str | list[str]) -> DataFrame:
@@ -35,17 +41,57 @@ def scan(spark: SparkSession, file_type: str, fields: list[T.StructField], paths
         raise GraphBindError(f"Unsupported file type: {file_type}")
     try:
         return reader.format(file_type).load(paths)
-    except Exception as e:
+    except AnalysisException as e:
         raise GraphIOError(f"Failed to read chunks from path: {paths}") from e
 
 
+def _number(raw: bytes | None) -> int | None:
+    return None if raw is None or len(raw) != 8 else int.from_bytes(raw, "little", signed=True)
+
+
 def read_count(spark: SparkSession, path: str) -> int | None:
     """The count that a side file holds as a little-endian 64-bit integer; None where there is no such file."""
-    try:
-        row = spark.read.format("binaryFile").load(path).select("content").first()
-    except Exception:  # counts are optional: the data itself can be counted
+    return _number(Files(spark, path).get(path))
+
+
+def edge_count(spark: SparkSession, directory: str, e: EdgeInfo) -> int | None:
+    """How many edges there are by the counts beside them; None where these are missing."""
+    if not e.orders:
         return None
-    return None if row is None or len(row[0]) != 8 else int.from_bytes(row[0], "little", signed=True)
+    counts = _edge_counts(spark, directory, e, pick_order(e, None))
+    return None if counts is None else sum(counts)
+
+
+def _edge_counts(spark: SparkSession, directory: str, e: EdgeInfo, o: AdjacencyInfo) -> list[int] | None:
+    """The number of edges of each part folder; None where a count is missing."""
+    vertices = read_count(spark, layout.edge_vertex_count(directory, e, o))
+    if vertices is None:
+        return None
+    parts = -(-vertices // layout.chunk_size_of(e, o))
+    if parts <= FEW_PARTS:
+        counts = [read_count(spark, layout.edge_count(directory, e, o, p)) for p in range(parts)]
+    else:
+        rows = spark.read.format("binaryFile").option("pathGlobFilter", f"{layout.EDGE_COUNT}*").load(layout.order_root(directory, e, o))
+        counts = [_number(bytes(r[0])) for r in rows.select("content").toLocalIterator()]  # eight bytes a part
+    return None if len(counts) < parts or None in counts else counts
+
+
+def chunks_of_edges(spark: SparkSession, directory: str, e: EdgeInfo, o: AdjacencyInfo, vid: int | None = None) -> int | None:
+    """How many chunks of edges there must be by the counts beside them, in all parts or in a vertex's; None where counts are missing."""
+    if vid is not None:
+        n = read_count(spark, layout.edge_count(directory, e, o, layout.part_of(e, o, vid)))
+        return None if n is None else -(-n // e.chunk_size)
+    counts = _edge_counts(spark, directory, e, o)
+    return None if counts is None else sum(-(-n // e.chunk_size) for n in counts)
+
+
+def check_chunks(spark: SparkSession, path: str, expected: int | None) -> None:
+    """Raise if fewer files lie under a path than the counts say."""
+    if not expected:
+        return
+    found = Files(spark, path).count(path) or 0
+    if found < expected:
+        raise GraphIOError(f"Failed to read chunks from path: {path}: {found} of {expected} are there")
 
 
 def vertex_count(spark: SparkSession, g: GraphInfo, kind: str) -> int:
@@ -90,6 +136,9 @@ def read_vertices(spark: SparkSession, g: GraphInfo, kind: str, columns: Iterabl
             out = spark.range(vertex_count(spark, g, kind)).select(F.col("id").alias(VERTEX_INDEX))
             return out.where(F.col(VERTEX_INDEX) == vid) if vid is not None else out
     at = (lambda x: layout.vertex_group(g.directory, v, x)) if vid is None else (lambda x: layout.vertex_chunk(g.directory, v, x, vid))
+    if vid is None and (n := read_count(spark, layout.vertex_count(g.directory, v))) is not None:
+        for x in groups:
+            check_chunks(spark, at(x), -(-n // v.chunk_size))
     parts = [scan(spark, x.file_type, [index, *x.fields], at(x)) for x in groups]
     if vid is not None:
         parts = [p.where(F.col(VERTEX_INDEX) == vid) for p in parts]
@@ -122,7 +171,7 @@ def _parse(file_type: str, fields: list[T.StructField]):
                 for b in got.to_batches(max_chunksize=50_000):
                     place = [pa.array([file] * len(b), pa.string()), pa.array(range(at, at + len(b)), pa.int64())]
                     at += len(b)
-                    yield pa.RecordBatch.from_arrays([*place, *b.columns], names=[*_PLACE, *names])
+                    yield pa.RecordBatch.from_arrays([*place, *b.columns], names=["_path", "_row", *names])
 
     return run
 
@@ -134,18 +183,23 @@ def _arrow(kind: T.DataType) -> pa.DataType:
 
 
 def placed(spark: SparkSession, file_type: str, fields: list[T.StructField], paths: list[str]) -> DataFrame:
-    """Chunk files with the place of each row: the last two parts of its file's name (part folder and chunk), and its number within."""
-    file = lambda path: F.substring_index(path, "/", -2).alias("_file")
+    """Chunk files with the place of each row: the numbers of its part folder (-1: none) and its chunk, from the last two parts of the file's name, and its own within the chunk."""
+
+    def number(name: str, at: int):
+        return F.coalesce(F.regexp_extract(F.element_at(F.split(F.col("_path"), "/"), at), rf"^{name}(\d+)", 1).try_cast("long"), F.lit(-1).cast("long"))
+
+    place = [number(layout.PART, -2).alias("_part"), number(layout.CHUNK, -1).alias("_chunk"), F.col("_row")]
+    names = [F.col(f"`{f.name}`") for f in fields]
     if file_type == "parquet":
         df = scan(spark, file_type, fields, paths)
-        return df.select(file(F.col("_metadata.file_path")), F.col("_metadata.row_index").alias("_row"), *[F.col(f"`{f.name}`") for f in fields])
+        return df.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"), *names).select(*place, *names)
     try:
         raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    except Exception as e:
+    except AnalysisException as e:
         raise GraphIOError(f"Failed to read chunks from path: {paths}") from e
     ship(spark)
-    place = [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())]
-    return raw.select(file(F.col("path")), "content").mapInArrow(_parse(file_type, fields), T.StructType([*place, *fields]))
+    own = [T.StructField("_path", T.StringType()), T.StructField("_row", T.LongType())]
+    return raw.select(F.col("path"), "content").mapInArrow(_parse(file_type, fields), T.StructType([*own, *fields])).select(*place, *names)
 
 
 def read_edges(spark: SparkSession, g: GraphInfo, triple: tuple[str, str, str], columns: Iterable[str] | None = None, order: str | None = None, vid: int | None = None) -> DataFrame:
@@ -159,6 +213,12 @@ def edges_at(spark: SparkSession, directory: str, e: EdgeInfo, columns: Iterable
     groups = _wanted(e.groups, columns)
     under = f"{layout.PART}{layout.part_of(e, o, vid)}/" if vid is not None else ""
     root = layout.adjacency(directory, e, o)
+    expected = chunks_of_edges(spark, directory, e, o, vid)
+    if expected == 0:  # no file was written
+        every = [*ids, *[f for x in groups for f in x.fields]]
+        return _picked(spark.createDataFrame([], T.StructType(every)), [SRC_INDEX, DST_INDEX], groups, columns)
+    for at in (root, *[layout.edge_group(directory, e, o, x) for x in groups]):
+        check_chunks(spark, at + under, expected)
     if not groups:
         out = scan(spark, o.file_type, ids, root + under)
     else:
@@ -182,21 +242,18 @@ def pick_order(e: EdgeInfo, order: str | None) -> AdjacencyInfo:
 def read_offset_degrees(spark: SparkSession, directory: str, e: EdgeInfo, order: str = "src") -> DataFrame | None:
     """(degree, id) of every vertex on one side, from the offset files alone: no edge is read. None where the copy or its offsets are missing.
 
-    Offsets v and v + 1 of a chunk delimit vertex v's edges; they are paired by an equi-join on the row number.
+    Offsets v and v + 1 of a chunk delimit vertex v's edges: neighbours in the order of rows within a chunk, of which each file holds one.
     """
     o = e.order(order)
     if o is None:
         return None
     n = read_count(spark, layout.edge_vertex_count(directory, e, o))
-    if n is None:
-        return None
     root = layout.offsets(directory, e, o)
-    try:
-        df = placed(spark, o.file_type, [T.StructField(OFFSET_COLUMN, T.LongType())], [root]).withColumnRenamed(OFFSET_COLUMN, "begin")
-    except GraphIOError:
+    if n is None or not Files(spark, root).fs.exists(Files(spark, root).path(root)):
         return None
-    df = df.withColumn("_chunk", F.split_part(F.substring_index("_file", layout.CHUNK, -1), F.lit("."), F.lit(1)).cast("int"))
-    end = df.select("_chunk", (F.col("_row") - 1).alias("_row"), F.col("begin").alias("end"))
     size = layout.chunk_size_of(e, o)
-    vid = (F.col("_chunk").cast("long") * size + F.col("_row")).alias("vid")
+    check_chunks(spark, root, -(-n // size))
+    df = placed(spark, o.file_type, [T.StructField(OFFSET_COLUMN, T.LongType())], [root]).withColumnRenamed(OFFSET_COLUMN, "begin")
+    end = df.select("_chunk", (F.col("_row") - 1).alias("_row"), F.col("begin").alias("end"))
+    vid = (F.col("_chunk") * size + F.col("_row")).alias("vid")
     return df.join(end, ["_chunk", "_row"]).select((F.col("end") - F.col("begin")).alias("degree"), vid).where(F.col("vid") < n)

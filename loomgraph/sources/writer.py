@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from loomgraph.metadata import DST_INDEX, SRC_INDEX, VERTEX_INDEX, AdjacencyInfo, EdgeInfo, GraphInfo, PropertyGroup, VertexInfo, type_name
 from loomgraph.plans.lineage import SMALL_ROWS, at_most, materialize
 from loomgraph.sources import layout
+from loomgraph.sources.files import Files
 from loomgraph.sources.reader import OFFSET_COLUMN
 
 ORDERS = ("src", "dst")
@@ -22,39 +23,6 @@ ORDERS = ("src", "dst")
 WINDOW_ROWS = 5_000_000
 
 
-class Files:
-    """The file system of a path, through Spark's JVM."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.jvm = spark._jvm
-        self.fs = self.path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def path(self, p: str):
-        return self.jvm.org.apache.hadoop.fs.Path(p)
-
-    def put(self, path: str, content: bytes) -> None:
-        out = self.fs.create(self.path(path), True)
-        try:
-            out.write(bytearray(content))
-        finally:
-            out.close()
-
-    def settle(self, tmp: str, to: str) -> None:
-        """Move the one file of each _d0=i/_d1=j folder under tmp to its place under to."""
-        files = self.fs.listFiles(self.path(tmp), True)
-        while files.hasNext():
-            f = files.next().getPath()
-            if not f.getName().startswith("part-"):
-                continue
-            places = [s.split("=")[1] for s in f.toString().split("/") if s.startswith("_d")]
-            name = f"{layout.CHUNK}{places[-1]}"
-            target = f"{to}{layout.PART}{places[0]}/{name}" if len(places) == 2 else f"{to}{name}"
-            self.fs.mkdirs(self.path(target).getParent())
-            self.fs.delete(self.path(target), False)
-            self.fs.rename(f, self.path(target))
-        self.fs.delete(self.path(tmp), True)
-
-
 def _write(df: DataFrame, dirs: list[str], file_type: str, to: str, sort: list[str]) -> None:
     tmp = to.rstrip("/") + ".writing"
     out = df.repartition(*dirs).sortWithinPartitions(*dirs, *sort)

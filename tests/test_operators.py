@@ -136,3 +136,51 @@ def test_scalar_paths_of_a_graph_in_pieces(spark):
     assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
     register_paths(spark, edges(spark, chain), limit=10)
     assert tuple(spark.sql("SELECT bfs_length(0, 2), bfs_exist(40, 0), bfs_exist(0, 30), bfs_length(NULL, 1)").first()) == (2, False, True, None)
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_many_pairs_and_few(spark, limit, monkeypatch):
+    from loomgraph.operators import paths
+
+    rng = random.Random(4)
+    rows = [(rng.randrange(30), rng.randrange(30)) for _ in range(45)]
+    asked = [(s, d) for s in range(6) for d in range(30)] + [(None, 1)]
+    want = {(s, d): None if s is None else brute_bfs(rows, s, d) for s, d in asked}
+    for few in (0, 1000):
+        monkeypatch.setattr(paths, "FEW_PAIRS", few)
+        got = ops.bfs_length(edges(spark, rows), spark.createDataFrame(asked, "src long, dst long"), 30, broadcast_edges=limit).collect()
+        assert {(r.src, r.dst): r.bfs_length for r in got} == want and len(got) == len(asked)
+        with pytest.raises(VertexRangeError):
+            ops.bfs_length(edges(spark, rows), spark.createDataFrame([(0, 1), (1, 30)], "src long, dst long"), 30, broadcast_edges=limit)
+
+
+def test_pairs_of_one_vertex_need_no_edges(spark):
+    broken = edges(spark, PATH).where("raise_error('read') IS NULL")
+    ask = spark.createDataFrame([(3, 3), (None, 2)], "src long, dst long")
+    assert sorted(map(str, (r.bfs_length for r in ops.bfs_length(broken, ask, 5).collect()))) == ["0", "None"]
+
+
+def test_deep_graphs_keep_small_plans(spark, monkeypatch):
+    from loomgraph.operators import paths
+
+    monkeypatch.setattr(paths, "LEVELS", 3)
+    chain = [(i, i + 1) for i in range(10)]
+    got = paths.bfs_levels(edges(spark, chain), spark.createDataFrame([(0,), (4,)], "src long"))
+    assert sorted(map(tuple, got.collect())) == sorted([(0, i, i) for i in range(11)] + [(4, i, i - 4) for i in range(4, 11)])
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 4
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    from loomgraph.errors import GraphIOError
+    from loomgraph.plans import lineage
+
+    assert lineage.shared_dir(spark)
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        with pytest.raises(GraphIOError, match="spark.checkpoint.dir"):
+            lineage.shared_dir(spark)
+    finally:
+        if given:
+            spark.conf.set("spark.checkpoint.dir", given)

@@ -179,3 +179,77 @@ def test_rows_are_numbered_alike_either_way(spark):
     for limit in (10**6, 0):
         got = numbered(df, ["s", "d"], limit).select("_p", "_row", "s", "d").collect()
         assert sorted(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("lost", ["vertex/A/i_l/chunk1", "edge/A_next_A/ordered_by_source/adj_list/part1/chunk1", "edge/A_owns_B/ordered_by_source/price_note/part0/chunk2", "edge/A_next_A/ordered_by_source/offset/chunk1"])
+def test_a_missing_chunk_is_an_error(spark, tmp_path, lost):
+    e = spark.createDataFrame(EDGES, f"{SRC_INDEX} long, {DST_INDEX} long")
+    owned = spark.createDataFrame(OWNED, f"{SRC_INDEX} long, {DST_INDEX} long, price double, note string, day date, flag boolean")
+    b = spark.range(20).select(F.col("id").alias(VERTEX_INDEX))
+    path = write_graph(spark, str(tmp_path), "g", {"A": (typed(spark), [["i", "l"], ["s"]]), "B": (b, [])}, {NEXT: (e, []), OWNS: (owned, [["price", "note"]])}, 4, 3)
+    g = Graph.load(spark, path)
+    reads = [lambda: g.vertices("A", ["i"]), lambda: g.edges(*NEXT), lambda: g.edges(*OWNS, columns=["price"]), lambda: g.degrees(NEXT)]
+    before = [r().count() for r in reads]
+    (tmp_path / lost).unlink()
+    failed = []
+    for k, r in enumerate(reads):
+        try:
+            assert r().count() == before[k]
+        except GraphIOError as error:
+            assert "are there" in str(error)
+            failed.append(k)
+    assert failed == [["vertex/A", "A_next_A/ordered_by_source/adj_list", "A_owns_B", "offset"].index(next(x for x in ("vertex/A", "A_next_A/ordered_by_source/adj_list", "A_owns_B", "offset") if x in lost))]
+    if "adj_list" in lost:
+        with pytest.raises(GraphIOError):
+            g.neighbors(NEXT, 5)
+
+
+def test_a_part_without_edges(spark, tmp_path):
+    e = spark.createDataFrame([(0, 1)], f"{SRC_INDEX} long, {DST_INDEX} long")
+    v = spark.range(9).select(F.col("id").alias(VERTEX_INDEX))
+    g = Graph.load(spark, write_graph(spark, str(tmp_path), "g", {"A": (v, [])}, {NEXT: (e, [])}, 4, 3))
+    assert g.neighbors(NEXT, 7).count() == 0 and g.two_hop(NEXT, 7).count() == 0 and g.neighbors(NEXT, 1, "in").count() == 1
+    none = Graph.load(spark, write_graph(spark, str(tmp_path / "none"), "g", {"A": (v, [])}, {NEXT: (e.limit(0), [])}, 4, 3))
+    assert none.edges(*NEXT).count() == 0 and none.neighbors(NEXT, 0).count() == 0 and none.edges(*NEXT).columns == [SRC_INDEX, DST_INDEX]
+
+
+def test_errors_of_the_store_are_not_swallowed(spark, tmp_path, monkeypatch):
+    from loomgraph.sources import reader
+    from loomgraph.sources.files import Files
+
+    assert reader.read_count(spark, str(tmp_path / "none")) is None
+    monkeypatch.setattr(Files, "get", lambda self, path: (_ for _ in ()).throw(PermissionError(path)))
+    with pytest.raises(PermissionError):
+        reader.read_count(spark, str(tmp_path / "none"))
+
+
+def test_counts_of_very_many_parts(spark, stored, monkeypatch):
+    from loomgraph.sources import reader
+
+    g, _ = stored
+    e = g.info.edge(*NEXT)
+    few = [reader.chunks_of_edges(spark, g.info.directory, e, o) for o in e.orders]
+    monkeypatch.setattr(reader, "FEW_PARTS", 0)
+    assert [reader.chunks_of_edges(spark, g.info.directory, e, o) for o in e.orders] == few
+    assert reader.edge_count(spark, g.info.directory, e) == len(EDGES)
+
+
+def test_first_hop_is_read_from_its_part(spark, stored):
+    g, _ = stored
+    files = g._own(g.info.edge(*NEXT), 5).inputFiles()
+    assert files and all("part1" in f for f in files)
+
+
+def test_times_are_logged(spark, stored, caplog):
+    import logging
+
+    g, _ = stored
+    caplog.set_level(logging.INFO, "loomgraph")
+    g.vertices("B")
+    assert not caplog.records
+    spark.conf.set("graph.timeLogging", "true")
+    try:
+        g.vertices("B")
+    finally:
+        spark.conf.unset("graph.timeLogging")
+    assert any(r.name == "loomgraph" and "vertices B" in r.getMessage() for r in caplog.records)
