@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph import operators as ops
+from loomgraph.functions.dialect import graph_sql
 from loomgraph.functions.scalar import banner, path_udf
 from loomgraph.metadata import DEGREE_ID, DST_INDEX, SRC_INDEX, VERTEX_INDEX
 from loomgraph.plans import graphs as g
+from loomgraph.plans.lineage import shared_dir
+from loomgraph.sources import layout
+from loomgraph.streaming.degrees import running_degrees, stream_edges
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -193,7 +198,6 @@ def _lengths(edges: str, targets: str, sources: tuple[int, ...] = SOURCES, depth
 
 
 _ALL = "SELECT c_custkey AS dst FROM customer"
-_EVEN = "SELECT c_custkey AS dst FROM customer WHERE c_custkey % 2 = 0"
 
 
 def _pairs(targets: DataFrame, sources: tuple[int, ...] = SOURCES) -> DataFrame:
@@ -217,11 +221,16 @@ def bfs_exist(spark, sf_dir):
     return ops.bfs_exist(g.next_customer(spark, sf_dir), _pairs(g.customers(spark, sf_dir)))
 
 
-@query(f"{_lengths(_E1 + ', e AS (SELECT * FROM e1 WHERE s % 2 = 0 AND d % 2 = 0 AND s % 3 = d % 3)', _EVEN, depth=99)} SELECT src, dst, bfs_length FROM lengths")
+_WITHIN = ", e AS (SELECT e1.s, e1.d FROM e1 JOIN customer a ON a.c_custkey = e1.s JOIN customer b ON b.c_custkey = e1.d WHERE a.c_nationkey = b.c_nationkey)"
+
+
+@query(f"{_lengths(_E1 + _WITHIN, _ALL, depth=99)} SELECT src, dst, bfs_length FROM lengths")
 def bfs_unreachable(spark, sf_dir):
-    """On a subgraph that keeps most pairs apart."""
-    e = g.next_customer(spark, sf_dir).where(f"{SRC_INDEX} % 2 = 0 AND {DST_INDEX} % 2 = 0 AND {SRC_INDEX} % 3 = {DST_INDEX} % 3")
-    return ops.bfs_length(e, _pairs(g.customers(spark, sf_dir).where(f"{VERTEX_INDEX} % 2 = 0")))
+    """By edges within a nation, which leave most customers apart."""
+    v = g.customers(spark, sf_dir)
+    nation = lambda c: v.select(F.col(VERTEX_INDEX).alias(c), F.col("nation").alias(f"_{c}"))
+    e = g.next_customer(spark, sf_dir).join(nation(SRC_INDEX), SRC_INDEX).join(nation(DST_INDEX), DST_INDEX).where(F.col(f"_{SRC_INDEX}") == F.col(f"_{DST_INDEX}"))
+    return ops.bfs_length(e, _pairs(v))
 
 
 @query(f"{_lengths(_E1 + ', e AS (SELECT * FROM e1)', _ALL)} SELECT src, dst, bfs_length FROM lengths")
@@ -273,3 +282,96 @@ def edges_vertex_function(spark, sf_dir):
 def bfs_functions(spark, sf_dir):
     g.stored(spark, sf_dir).attach()
     return spark.sql(f"SELECT {VERTEX_INDEX} AS id, bfs_length(42, {VERTEX_INDEX}) AS bfs_length, bfs_exist(42, {VERTEX_INDEX}) AS bfs_exist FROM `Customer.vertex`")
+
+
+@query("SELECT unnest(['Customer.vertex', 'Order.vertex', 'Customer_next_Customer.edge', 'Customer_places_Order.edge']) AS name")
+def show_tables(spark, sf_dir):
+    """Of the graph attached under a name of its own."""
+    g.stored(spark, sf_dir).attach(paths=False, alias="stored")
+    return graph_sql(spark, "SELECT name FROM (SHOW ALL TABLES) WHERE database = 'stored'")
+
+
+@query(f"WITH {_E1} SELECT d AS dst, count(*) AS n FROM e1 GROUP BY d")
+def named_graph_sql(spark, sf_dir):
+    """A table of a graph that was attached under a name."""
+    g.stored(spark, sf_dir).attach(paths=False, alias="named")
+    return graph_sql(spark, f"SELECT {DST_INDEX} AS dst, count(*) AS n FROM named.'{'_'.join(g.NEXT)}.edge' GROUP BY {DST_INDEX}")
+
+
+@query(f'SELECT c_custkey AS "{VERTEX_INDEX}" FROM customer WHERE c_custkey < 0')
+def out_of_range_filter(spark, sf_dir):
+    """A predicate on ids that don't exist gives no rows; as an argument such an id is an error."""
+    return g.stored(spark, sf_dir).vertices("Customer", columns=[]).where(f"{VERTEX_INDEX} = -5")
+
+
+@query(f"WITH {_E1} SELECT count(*) AS degree, s AS \"{DEGREE_ID}\" FROM e1 GROUP BY s")
+def streamed_degrees(spark, sf_dir):
+    """Degrees kept by a stream over the stored chunks of edges."""
+    stored = g.stored(spark, sf_dir)
+    e = stored.info.edge(*g.NEXT)
+    where = f"{shared_dir(spark)}/loomgraph/stream-{uuid.uuid4().hex}"
+    chunks = stream_edges(spark, layout.adjacency(stored.info.directory, e, e.order("src")))
+    write = running_degrees(chunks).writeStream.outputMode("complete").option("checkpointLocation", f"{where}/state").trigger(availableNow=True)
+    write.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{where}/degrees")).start().awaitTermination()
+    return spark.read.parquet(f"{where}/degrees")
+
+
+# the host's own relational operators, over attached tables
+
+
+def attached(sql: str):
+    """A query over the attached tables customers, next and places."""
+
+    def run(spark, sf_dir):
+        g.stored(spark, sf_dir).attach(paths=False)
+        views = {"customers": "Customer.vertex", "next": f"{'_'.join(g.NEXT)}.edge", "places": f"{'_'.join(g.PLACES)}.edge"}
+        return spark.sql(sql.format(**{k: f"`{v}`" for k, v in views.items()}))
+
+    return run
+
+
+_PLACED = "SELECT o_custkey AS s, o_orderkey AS d, o_totalprice AS price, o_orderdate::DATE AS ordered_on FROM orders"
+_V, _S, _D = VERTEX_INDEX, SRC_INDEX, DST_INDEX
+HOST: dict[str, tuple[str, str]] = {
+    "sort_merge_join": (
+        f"SELECT /*+ MERGE(v) */ segment, count(*) AS n, max(price) AS most FROM {{places}} e JOIN {{customers}} v ON e.{_S} = v.{_V} GROUP BY segment",
+        "SELECT c_mktsegment AS segment, count(*) AS n, max(o_totalprice) AS most FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL",
+    ),
+    "theta_join": (  # one row a nation on the other side
+        f"SELECT v.{_V} AS id, count(*) AS n FROM {{customers}} v JOIN (SELECT nation, avg(balance) AS mean FROM {{customers}} GROUP BY nation) t ON v.balance > t.mean AND v.nation <> t.nation GROUP BY v.{_V}",
+        "SELECT c_custkey AS id, count(*) AS n FROM customer v JOIN (SELECT c_nationkey AS nation, avg(c_acctbal) AS mean FROM customer GROUP BY ALL) t ON c_acctbal > mean AND c_nationkey <> nation GROUP BY ALL",
+    ),
+    "range_join": (
+        "SELECT band, count(*) AS n FROM {places} JOIN (VALUES (1, 0D, 50000D), (2, 50000D, 150000D), (3, 150000D, 300000D), (4, 300000D, 1e9D)) AS b(band, lo, hi) ON price >= lo AND price < hi GROUP BY band",
+        f"SELECT band, count(*) AS n FROM ({_PLACED}) JOIN (VALUES (1, 0, 50000), (2, 50000, 150000), (3, 150000, 300000), (4, 300000, 1e9)) AS b(band, lo, hi) ON price >= lo AND price < hi GROUP BY band",
+    ),
+    "as_of_join": (
+        f"SELECT {_S} AS id, cast(day AS string) AS day, cast(max(ordered_on) AS string) AS latest FROM {{places}} JOIN (VALUES (date'1995-01-01'), (date'1997-06-30'), (date'2024-06-30')) AS t(day) ON ordered_on <= day GROUP BY {_S}, day",
+        f"SELECT s AS id, day::VARCHAR AS day, max(ordered_on)::VARCHAR AS latest FROM ({_PLACED}) JOIN (VALUES (DATE '1995-01-01'), (DATE '1997-06-30'), (DATE '2024-06-30')) AS t(day) ON ordered_on <= day GROUP BY s, day",
+    ),
+    "grouping_sets": (
+        "SELECT nation, segment, count(*) AS n FROM {customers} GROUP BY GROUPING SETS ((nation, segment), (segment), ())",
+        "SELECT c_nationkey AS nation, c_mktsegment AS segment, count(*) AS n FROM customer GROUP BY GROUPING SETS ((c_nationkey, c_mktsegment), (c_mktsegment), ())",
+    ),
+    "cube": ("SELECT nation, segment, max(balance) AS most FROM {customers} GROUP BY CUBE (nation, segment)", "SELECT c_nationkey AS nation, c_mktsegment AS segment, max(c_acctbal) AS most FROM customer GROUP BY CUBE (c_nationkey, c_mktsegment)"),
+    "rollup": ("SELECT nation, segment, min(balance) AS least FROM {customers} GROUP BY ROLLUP (nation, segment)", "SELECT c_nationkey AS nation, c_mktsegment AS segment, min(c_acctbal) AS least FROM customer GROUP BY ROLLUP (c_nationkey, c_mktsegment)"),
+    "approximate_distinct": (  # engines' sketches differ: the estimate is compared with the truth
+        f"SELECT count(DISTINCT {_D}) AS n, abs(approx_count_distinct({_D}, 0.02) - count(DISTINCT {_D})) <= 0.1 * count(DISTINCT {_D}) AS near FROM {{next}}",
+        f"WITH {_E1} SELECT count(DISTINCT d) AS n, true AS near FROM e1",
+    ),
+    "subqueries": (
+        f"WITH d AS (SELECT {_S} AS id, count(*) AS n FROM {{next}} GROUP BY {_S}) SELECT id, n FROM d WHERE n > (SELECT avg(n) FROM d) AND id IN (SELECT {_V} FROM {{customers}} WHERE balance > 0) AND EXISTS (SELECT 1 FROM {{places}} p WHERE p.{_S} = d.id AND price > 100000)",
+        f"WITH {_E1}, g AS (SELECT s AS id, count(*) AS n FROM e1 GROUP BY s) SELECT id, n FROM g WHERE n > (SELECT avg(n) FROM g) AND id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = g.id AND o_totalprice > 100000)",
+    ),
+    "pivot": (
+        "SELECT nation, coalesce(building, 0) AS building, coalesce(other, 0) AS other FROM (SELECT nation, CASE WHEN segment = 'BUILDING' THEN 'b' ELSE 'o' END AS kind FROM {customers}) PIVOT (count(*) FOR kind IN ('b' AS building, 'o' AS other))",
+        "SELECT c_nationkey AS nation, count(*) FILTER (c_mktsegment = 'BUILDING') AS building, count(*) FILTER (c_mktsegment <> 'BUILDING') AS other FROM customer GROUP BY ALL",
+    ),
+    "unnest": (
+        f"SELECT {_V} AS id, part FROM {{customers}} LATERAL VIEW explode(split(name, '#')) AS part",
+        "SELECT c_custkey AS id, unnest(string_split(c_name, '#')) AS part FROM customer",
+    ),
+    "sample": (f"SELECT count(*) AS n, sum({_S}) AS total FROM {{next}} TABLESAMPLE (100 PERCENT)", f"WITH {_E1} SELECT count(*) AS n, sum(s)::BIGINT AS total FROM e1"),
+}
+for _name, (_spark, _sql) in HOST.items():
+    QUERIES[_name], ORACLES[_name] = attached(_spark), _sql
