@@ -9,7 +9,9 @@ returns the pieces of packed sequences. A stage's docs are its predecessor's res
 4. secrets: secrets in texts are masked.
 5. packing: texts are encoded and packed into windows of 1024 tokens.
 
-Rows without a doc_id go in the second stage, at the latest. Tables without rows give none at any stage.
+Nulls: a row without text goes in the first stage; one without a doc_id is a document like any other, after all that have one. Very long texts are read whole. Ties and
+repeated rows: of rows that repeat an id and its text one stays; different texts under one id are different documents. Extra columns pass through the first four stages
+as they are, whatever their names. Tables without rows give none at any stage.
 """
 
 from __future__ import annotations
@@ -28,11 +30,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_first(docs, width=5, percent=80)
+    return minhash.keep_first(docs, width=5, percent=80, without_id=True)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffixdedup.cut(docs)
+    return suffixdedup.cut(docs, without_id=True)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
