@@ -170,17 +170,18 @@ def test_deep_graphs_keep_small_plans(spark, monkeypatch):
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 4
 
 
-def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
     from loomgraph.errors import GraphIOError
     from loomgraph.plans import lineage
 
-    assert lineage.shared_dir(spark)
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
+    def session(master, given=None):
+        conf = SimpleNamespace(get=lambda name, default=None: given, set=lambda name, value: None)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getConf=lambda: conf))
+
+    for master in ("spark://somewhere:7077", "local-cluster[3,2,1024]", "yarn"):
         with pytest.raises(GraphIOError, match="spark.checkpoint.dir"):
-            lineage.shared_dir(spark)
-    finally:
-        if given:
-            spark.conf.set("spark.checkpoint.dir", given)
+            lineage.shared_dir(session(master))
+        assert lineage.shared_dir(session(master, "hdfs://x/y/")) == "hdfs://x/y"
+    assert lineage.shared_dir(session("local[4]")) == lineage.FALLBACK_DIR
