@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -34,11 +35,28 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")
 _LOW = (1 << 32) - 1
 
 
+#: fixed values: the only normalisation, splitting and merging that is covered
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITTERS = [
+    {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def check_kind(spec: dict, path: str) -> None:
+    """Raise if a tokenizer file isn't of the kind that this module covers."""
+    found = (spec["model"]["type"], (spec["normalizer"] or {}).get("normalizers"), (spec["pre_tokenizer"] or {}).get("pretokenizers"), spec.get("decoder"))
+    plain = all(not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in spec["added_tokens"])
+    if found != ("BPE", NORMALIZERS, SPLITTERS, None) or not plain or spec["model"].get("byte_fallback") or spec["model"].get("ignore_merges"):
+        raise ValueError(f"a tokenizer file of another kind: {path}")
+
+
 class WordBpe:
     """Encoder and decoder of one tokenizer file."""
 
     def __init__(self, path: str, kept: int = KEPT_CHUNKS):
         spec = json.load(open(path, encoding="utf-8"))
+        check_kind(spec, path)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix = model["end_of_word_suffix"] or ""
@@ -46,6 +64,7 @@ class WordBpe:
         self.strings = [self.tokens.get(i, "") for i in range(max(self.tokens) + 1)]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+        self.gate = os.path.commonprefix(list(self.special))  # a text without it has no special token
         self.rank: dict[int, int] = {}
         self.made: list[int] = []
         for r, m in enumerate(model["merges"]):
@@ -120,7 +139,7 @@ class WordBpe:
 
     def encode_bytes(self, text: str) -> bytes:
         """Ids of the whole text; the special tokens' strings inside it give their ids."""
-        if self.cut is not None and "<|" in text and len(parts := self.cut.split(text)) > 1:
+        if self.cut is not None and self.gate in text and len(parts := self.cut.split(text)) > 1:
             return b"".join(np.uint32(self.special[p]).astype("<u4").tobytes() if p in self.special else self._plain(p) for p in parts if p)
         return self._plain(text)
 

@@ -93,5 +93,16 @@ links AS (SELECT a, b FROM shared JOIN sizes x ON x.id = a JOIN sizes y ON y.id
 {_REACH}
 SELECT groups.id AS doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, component_id, groups.id = component_id AS kept FROM groups LEFT JOIN sizes ON sizes.id = groups.id"""
 
-#: What remains needs tokenizer libraries, fitted mixtures, or every 100-byte string of a table; tests compare those with the libraries and brute force.
-ORACLES: dict[str, str] = {"op1_near_embeddings": OP1_SQL, "op2_url_filter": urlfilter.oracle(), "op4_secrets": secrets.oracle(), "op5_top_k": OP5_SQL, "op7_minhash": OP7_SQL}
+OP8_SQL = """WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, p, md5_number(b[p + 1:p + 100]) AS g FROM (SELECT doc_id, b, unnest(range(octet_length(b) - 99)) AS p FROM t)),
+later AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS n FROM w) WHERE n > 1),
+marked AS (SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM later),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM marked),
+runs AS (SELECT doc_id, min(p) AS s, max(p) + 100 AS e FROM numbered GROUP BY doc_id, r),
+cuts AS (SELECT doc_id, list(s ORDER BY s) AS s, list(e ORDER BY s) AS e, count(*) AS n, sum(e - s)::BIGINT AS gone FROM runs GROUP BY doc_id)
+SELECT t.doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN n IS NULL THEN b ELSE unhex(array_to_string(list_transform(range(1, n + 2), lambda i: hex(b[(CASE WHEN i = 1 THEN 1 ELSE e[i - 1] + 1 END):(CASE WHEN i > n THEN octet_length(b) ELSE s[i] END)])), '')) END) AS kept_sha256
+FROM t LEFT JOIN cuts USING (doc_id)"""
+
+#: What remains needs tokenizer libraries or fitted mixtures; tests compare those with the libraries and plain versions.
+ORACLES: dict[str, str] = {"op1_near_embeddings": OP1_SQL, "op2_url_filter": urlfilter.oracle(), "op4_secrets": secrets.oracle(), "op5_top_k": OP5_SQL, "op7_minhash": OP7_SQL, "op8_suffix_dedup": OP8_SQL}

@@ -32,6 +32,17 @@ HEAD, KEPT_HEADS = 7, 60_000
 _NEVER = 1 << 60
 
 
+def check_kind(raw: bytes, path: str) -> None:
+    """Raise if a model isn't of the kind that this module covers: BPE, text kept as it is but for the space marks, no pieces defined by its user."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    m = pb.ModelProto.FromString(raw)
+    n, kinds = m.normalizer_spec, {p.type for p in m.pieces}
+    plain = n.name == "identity" and not n.precompiled_charsmap and n.add_dummy_prefix and not n.remove_extra_whitespaces and n.escape_whitespaces
+    if m.trainer_spec.model_type != pb.TrainerSpec.BPE or not plain or m.trainer_spec.treat_whitespace_as_suffix or pb.ModelProto.SentencePiece.USER_DEFINED in kinds:
+        raise ValueError(f"a model of another kind: {path}")
+
+
 class PrefixCounts:
     """Counts of one sentencepiece BPE model file (no normalisation but the space mark before the text and for spaces)."""
 
@@ -39,6 +50,7 @@ class PrefixCounts:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        check_kind(sp.serialized_model_proto(), path)
         self.rank: dict[str, int] = {}
         for i in range(sp.get_piece_size()):
             if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i) or sp.is_unused(i)):

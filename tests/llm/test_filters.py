@@ -303,3 +303,83 @@ def test_very_many_rules_and_repeated_rows(spark):
     rows = [(1, "http://h1.test/p"), (1, "http://h1.test/p"), (2, "http://x.H1.test/p/q/r"), (3, "http://h1998.test/p"), (4, "http://xh1.test/p"), (5, None)]
     got = sorted((r.page_id, r.rule, r.verdict) for r in urlfilter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=rules).collect() if r.page_id < 4)
     assert got == [(1, "h1.test/p", "block"), (1, "h1.test/p", "block"), (2, "h1.test/p/q", "allow"), (3, "h1998.test/p", "allow")]
+
+
+def plain_counts(text):
+    """Trigram buckets of one text, byte by byte."""
+    b = (text or "").encode()
+    low = []
+    for i, x in enumerate(b):
+        if 65 <= x <= 90 or 97 <= x <= 122:
+            low.append(x | 32)
+        elif x >= 128:
+            low.append(x + 32 if 0x80 <= x <= 0x9E and i and b[i - 1] == 0xC3 else x)
+        else:
+            low.append(32)
+    at = lambda i: low[i] if 0 <= i < len(low) else 32
+    n = {}
+    for i, x in enumerate(low):
+        if x != 32:
+            k = ((at(i - 1) << 16 | x << 8 | at(i + 1)) * 2654435761 % (1 << 32)) >> 20
+            n[k] = n.get(k, 0) + 1
+    return n
+
+
+def plain_mixture(n, p, start, rounds):
+    """Expectation-maximisation over one document's counts, in double precision: shares and log-likelihood."""
+    f = sorted(n)
+    c, q, shares = np.array([n[k] for k in f], float), p[:, f], np.array(start, float)
+    for _ in range(rounds):
+        joint = shares[:, None] * q
+        shares = (joint / joint.sum(0) * c).sum(1) / c.sum()
+    return shares, float((c * np.log(shares @ q)).sum())
+
+
+def plain_infer(n, p):
+    k, total = len(p), sum(n.values())
+    single = [plain_mixture(n, p, np.eye(k)[i], 0)[1] if n else 0.0 for i in range(k)]
+    best, value = np.eye(k)[int(np.argmax(single))], max(single)
+    first, _ = plain_mixture(n, p, np.full(k, 1 / k), langid.ROUNDS)
+    order = sorted(range(k), key=lambda i: -first[i])
+    for m in range(2, k + 1):
+        if first[order[m - 1]] < langid.LEAST_SHARE:
+            break
+        start = np.array([first[i] if i in order[:m] else 0.0 for i in range(k)])
+        shares, ll = plain_mixture(n, p, start / start.sum(), langid.SET_ROUNDS)
+        ll -= langid.PENALTY / 2 * (m - 1) * np.log(max(total, 2))
+        if ll > value:
+            best, value = shares, ll
+    z = np.exp((np.array(single) - max(single)) / np.sqrt(total))
+    return best, float(best.max() * z[int(best.argmax())] / z.sum())
+
+
+def test_third_query_against_a_plain_version(spark, sf):
+    """Training counts, expectation-maximisation, the choice of the set and the score, written plainly, for every row of the table."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    sums = {}
+    for r in docs:
+        if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            own = sums.setdefault(r.lang, np.full(langid.FEATURES, langid.SMOOTHING))
+            for k, n in plain_counts(r.text).items():
+                own[k] += n
+    languages = sorted(sums)
+    p = np.array([sums[x] / sums[x].sum() for x in languages])
+    got = {r.doc_id: r for r in queries.op3_language_id(spark, sf).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        g, n = got[r.doc_id], plain_counts(r.text)
+        if not any(map(str.isalpha, r.text or "")):
+            assert (g.lang_pred, g.score) == ("und", 0)
+            continue
+        shares, score = plain_infer(n, p)
+        top = sorted(shares)[::-1]
+        if top[0] - top[1] > 1e-3:
+            assert g.lang_pred == languages[int(shares.argmax())], r.doc_id
+        assert abs(g.score - score) < 2e-3 and abs(max(g.shares) - top[0]) < 2e-3
+
+
+def test_ties_go_to_the_first_language(spark, docs_of):
+    rows = spark.createDataFrame([(0, "abc abc", "zz"), (3, "abc abc", "aa"), (6, "abc abc", "mm")], "doc_id long, text string, lang string")
+    model = langid.train(rows.where(~langid.is_held_out()))
+    (r,) = langid.predict(docs_of([(1, "abc abc")]), model).collect()
+    assert r.lang_pred == model.languages[0]

@@ -138,3 +138,78 @@ def test_row_wise_operators_on_corner_tables(spark, docs_of):
         assert f(docs_of([]), path).count() == 0
     by = {r.doc_id: r for r in bpe.digests(docs_of(rows), WORD).collect()}
     assert by[1].n_tokens == by[2].n_tokens == 0 and by[1].ids_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_both_byte_level_libraries_agree_on_every_code_point():
+    """Texts go to one or the other by the length of their unbroken runs; the ids are the same either way."""
+    own = packing.encoder(BYTE)
+    assert own.fast is not None
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(points), 4000):
+        chars = [chr(c) for c in points[lo : lo + 4000]]
+        for text in ("".join(chars), " ".join(chars), "".join(f"a{c}1{c}{c}'s {c}\n" for c in chars)):
+            assert own.fast.encode(text, allowed_special="all") == own.slow.encode(text, add_special_tokens=False).ids
+
+
+def plain_pack(docs, size, most_open, least_cut):
+    """The online part of packing, written plainly: (pieces of finished windows, pieces of those left open), a window as a list of (doc, start, length)."""
+    done, open_ = [], []
+    room = lambda w: size - sum(x[2] for x in w)
+    for doc, n in docs:
+        at = 0
+        while n - at >= size:
+            done.append([(doc, at, size)])
+            at += size
+        while at < n:
+            fitting = [w for w in open_ if room(w) >= n - at]
+            if fitting:
+                w = min(fitting, key=room)
+                w.append((doc, at, n - at))
+                at = n
+                if not room(w):
+                    open_.remove(w)
+                    done.append(w)
+            elif len(open_) < most_open:
+                open_.append([])
+            else:
+                w = min(open_, key=room)
+                if room(w) >= least_cut:
+                    gap = room(w)
+                    w.append((doc, at, gap))
+                    at += gap
+                open_ = [x for x in open_ if x is not w]
+                done.append(w)
+    return done, open_
+
+
+@pytest.mark.parametrize("most_open,least_cut", [(32, 16), (3, 1), (1, 64)])
+def test_windows_are_those_of_a_plain_packer(most_open, least_cut):
+    rng = random.Random(most_open)
+    docs = [(k, rng.choice([rng.randint(1, 40), rng.randint(1, 300), 256, 700])) for k in range(400)]
+    w = packing.Windows(0, 256, most_open, least_cut)
+    for doc, n in docs:
+        w.add(doc, np.arange(n, dtype="<u4"))
+    found = {}
+    for doc, start, length, crc, total, sequence, offset, _ in w.rows:
+        assert crc == zlib.crc32(np.arange(start, start + length, dtype="<u4").tobytes()) and total == dict(docs)[doc]
+        found.setdefault(sequence, []).append((offset, doc, start, length))
+    done, left = plain_pack(docs, 256, most_open, least_cut)
+    assert sorted([x[1:] for x in sorted(f)] for f in found.values()) == sorted(done)
+    assert sorted([(d, s, len(i)) for d, s, i, _, _ in x[2]] for x in w.open) == sorted(left)
+
+
+def test_files_of_other_kinds_are_refused(tmp_path):
+    import json
+
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    spec = json.load(open(WORD, encoding="utf-8"))
+    spec["normalizer"]["normalizers"].pop()
+    (tmp_path / "w.json").write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError, match="another kind"):
+        bpe.WordBpe(str(tmp_path / "w.json"))
+    m = pb.ModelProto.FromString(sentencepiece.SentencePieceProcessor(model_file=PIECE).serialized_model_proto())
+    m.normalizer_spec.add_dummy_prefix = False
+    with pytest.raises(ValueError, match="another kind"):
+        tokencount.check_kind(m.SerializeToString(), PIECE)
