@@ -5,12 +5,11 @@ Every byte covered by a LENGTH-byte string that also starts earlier (smaller doc
 1. Sampling. Of the GRAM-byte strings in each LENGTH-byte window, the one with the least hash, leftmost among equals, is the window's anchor. The choice depends
    on the window's content alone, so equal windows have equal anchors, at the same place within. Only suffixes at anchors (about one byte in 32) are sorted.
 2. Classes. Anchors whose whole contexts (the windows they stand for) are equal form a class; all windows of all members but the first are repeats.
-   Classes are first formed within a task, so that of a passage in many documents each task sends one row. Equality within an anchor's group, of at most HOT classes
-   or else step 4, is by a 64-bit BLAKE2 digest.
+   Classes are first formed within a task, so that of a passage in many documents each task sends one row. Equality within an anchor's group is by a 64-bit BLAKE2 digest.
 3. Deep-shallow sorting. Where classes share an anchor's hash, their suffixes from the anchor, and the reversed prefixes before it, are sorted: a multikey sort
    by eight-byte characters to a shallow depth, then blind tries for the groups that still share a prefix. The
    longest common prefixes of neighbours tell which windows agree at each distance from the anchor; all but the first of each are repeats.
-4. An anchor hash with more than HOT classes, in one task or in all, is spread: its windows are grouped by 128-bit BLAKE2 digests
+4. An anchor hash with more than HOT classes in one task, or MANY in all, is spread: its windows are grouped by 128-bit BLAKE2 digests
    of their own instead, of which each task sends the first; minima are combined before the shuffle. So no group of unbounded size is held in a task.
 
 Null texts count as empty. Rows without a doc_id are left out, or with without_id=True come after all others, each text a document of its own. Rows that repeat both an id and its text
@@ -40,6 +39,8 @@ SEGMENT, TABLE = 1 << 17, 1 << 17
 SLICE = 1 << 18
 #: Classes of one anchor hash in one task beyond which its windows are grouped by their own hashes.
 HOT = 64
+#: Classes of one anchor hash in all tasks beyond which the same is done: their contexts, 163 bytes at most each, would have to meet in one task.
+MANY = 1 << 14
 #: Hot anchors whose windows a task holds at once.
 HOT_ANCHORS = 50_000
 #: Eight-byte characters of the multikey sort.
@@ -281,45 +282,49 @@ def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
             yield cols
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _classes(many: int = MANY):
     """Rows sorted by (h, c, doc_id, at): spans of classes' further members, the first members of classes that share an anchor hash, with the ext of anchors, and
-    word of the hashes with more than HOT classes. Other rows pass.
+    word of the hashes with more than so many classes. Other rows pass.
 
     Holds a batch and the first member of the last class, however many rows share a hash.
     """
-    last: list[np.ndarray] | None = None  # the first member of the class that the next batch may go on with
-    count, sent = 0, False  # classes of its hash so far; whether that member has been sent
-    for batch in batches:
-        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        other = cols[4] < 0
-        if other.any():
-            yield from rows_of(*[x[other] for x in cols])
-            cols = [x[~other] for x in cols]
-        if not len(cols[0]):
-            continue
-        if last is not None:
-            cols = [np.concatenate(x) for x in zip(last, cols, strict=True)]
-        h, c, doc, at, ext = cols
-        new_h = np.concatenate([[True], h[1:] != h[:-1]])
-        new = new_h | np.concatenate([[True], c[1:] != c[:-1]])
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        again = ~new & ((doc != doc[first]) | (at != at[first]))
-        lo = at - (ext >> 8)
-        d, a, b = runs(doc[again], lo[again], lo[again] + (ext[again] & 255) + LENGTH)
-        yield from rows_of(np.zeros(len(d), np.int64), b, d, a, np.full(len(d), SPAN))
-        starts = np.flatnonzero(new_h)
-        known = np.zeros(len(starts), dtype=np.int64)  # classes counted before this batch
-        old = np.zeros(len(h), dtype=bool)
-        if last is not None:
-            known[0], old[0] = count, sent
-        total = np.add.reduceat(new.astype(np.int64), starts) + np.maximum(known - 1, 0)
-        send = new & ~old & (total[np.cumsum(new_h) - 1] > 1)
-        yield from rows_of(h[send], np.zeros(int(send.sum()), np.int64), doc[send], at[send], ext[send])
-        hot = h[starts[(total > HOT) & (known <= HOT)]]
-        zero = np.zeros(len(hot), dtype=np.int64)
-        yield from rows_of(hot, zero, zero, zero, np.full(len(hot), BEACON))
-        j = int(first[-1])
-        last, count, sent = [x[j : j + 1] for x in cols], int(total[-1]), bool(old[j] or send[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list[np.ndarray] | None = None  # the first member of the class that the next batch may go on with
+        count, sent = 0, False  # classes of its hash so far; whether that member has been sent
+        for batch in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            other = cols[4] < 0
+            if other.any():
+                yield from rows_of(*[x[other] for x in cols])
+                cols = [x[~other] for x in cols]
+            if not len(cols[0]):
+                continue
+            if last is not None:
+                cols = [np.concatenate(x) for x in zip(last, cols, strict=True)]
+            h, c, doc, at, ext = cols
+            new_h = np.concatenate([[True], h[1:] != h[:-1]])
+            new = new_h | np.concatenate([[True], c[1:] != c[:-1]])
+            first = np.flatnonzero(new)[np.cumsum(new) - 1]
+            again = ~new & ((doc != doc[first]) | (at != at[first]))
+            lo = at - (ext >> 8)
+            d, a, b = runs(doc[again], lo[again], lo[again] + (ext[again] & 255) + LENGTH)
+            yield from rows_of(np.zeros(len(d), np.int64), b, d, a, np.full(len(d), SPAN))
+            starts = np.flatnonzero(new_h)
+            known = np.zeros(len(starts), dtype=np.int64)  # classes counted before this batch
+            old = np.zeros(len(h), dtype=bool)
+            if last is not None:
+                known[0], old[0] = count, sent
+            total = np.add.reduceat(new.astype(np.int64), starts) + np.maximum(known - 1, 0)
+            send = new & ~old & (total[np.cumsum(new_h) - 1] > 1)
+            yield from rows_of(h[send], np.zeros(int(send.sum()), np.int64), doc[send], at[send], ext[send])
+            hot = h[starts[(total > many) & (known <= many)]]
+            zero = np.zeros(len(hot), dtype=np.int64)
+            yield from rows_of(hot, zero, zero, zero, np.full(len(hot), BEACON))
+            j = int(first[-1])
+            last, count, sent = [x[j : j + 1] for x in cols], int(total[-1]), bool(old[j] or send[j])
+
+    return run
 
 
 def blind_trie(strings: list[bytes], depth: int) -> tuple[list[int], list[int]]:
@@ -489,7 +494,7 @@ def _fetch(hot: bool):
     return run
 
 
-def repeated_spans(documents: Documents) -> DataFrame:
+def repeated_spans(documents: Documents, many: int = MANY) -> DataFrame:
     """(number, spans): the byte spans [start, end) that repeat earlier ones, for documents that have any; spans may touch or overlap."""
     texts = documents.texts.select(F.col("number").alias("doc_id"), "text")
     spark = texts.sparkSession
@@ -497,7 +502,7 @@ def repeated_spans(documents: Documents) -> DataFrame:
     parts = partitions(spark, 2 * documents.bytes)  # rows of anchors are about twice as large as the texts
     rows = texts.mapInArrow(_sample, ROWS_SQL)
     by_anchor = rows.repartition(parts, F.when(F.col("ext") == HASHED, F.xxhash64("h", "c")).otherwise(F.col("h")))
-    found = by_anchor.sortWithinPartitions("h", "c", "doc_id", "at").mapInArrow(_classes, ROWS_SQL)
+    found = by_anchor.sortWithinPartitions("h", "c", "doc_id", "at").mapInArrow(_classes(many), ROWS_SQL)
     found = materialize(found, "repeats")
     wanted = found.where("ext >= 0").select("h", "doc_id", "at", "ext")
     beacons = materialize(found.where(f"ext = {BEACON}").select("h").distinct(), "beacons")

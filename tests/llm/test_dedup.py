@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomgraph.llm import minhash, queries, suffixdedup
-from loomgraph.llm.common import components
+from loomgraph.llm.common import Documents, components
 from loomgraph.llm.minhash import shingle_sets
 
 
@@ -268,3 +268,124 @@ def test_long_documents_are_sampled_in_slices(monkeypatch):
         return covered
 
     assert windows_of(1 << 20) == windows_of(300) == {(1, p) for p in range(4901)} | {(2, p) for p in range(1902)}
+
+
+def thue_morse(n, a="ab", b="ba"):
+    return "".join((a, b)[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_regular_long_words_and_contexts_are_told_apart(spark, docs_of):
+    """Sums modulo 2 ** 64 are equal for these whatever the base."""
+    for n in (256, 512, 1024, 2048, 4096):
+        a, b = shingle_sets([thue_morse(n).encode(), thue_morse(n, "ba", "ab").encode()], 4)
+        assert (a != b).all(), n
+    one, two = thue_morse(4096), thue_morse(4096, "ba", "ab")
+    docs = [(1, f"{one} x y z"), (2, f"{two} x y z"), (3, f"{one} x y z")]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(docs), width=4).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+    docs = [(k, w * 300 + t) for k, (w, t) in enumerate([("ab", "c"), ("ba", "c"), (thue_morse(300), ""), (thue_morse(300, "ba", "ab"), "")])]
+    assert {r[0]: tuple(r)[1:] for r in suffixdedup.digests(docs_of(docs)).collect()} == brute_repeats(docs)
+
+
+def test_rows_that_share_an_id_or_have_none(spark, docs_of):
+    rng = random.Random(31)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    a, b, c = prose(60), prose(60), prose(60)
+    rows = [(1, a), (2, a), (2, b), (None, c), (None, a), (5, c + " tail"), (2, a), (None, None), (None, prose(40)), (2**63 - 1, b)]
+    out = suffixdedup.digests(docs_of(rows), without_id=True).collect()
+    assert len(out) == len(rows)
+    gone = sorted(((r.doc_id is None, r.doc_id or 0), r.n_bytes, r.n_removed) for r in out)
+    size = lambda t: len(t.encode())
+    # the first of each text is whole; b under id 2 has nothing in common with a; c comes after its copy with an id
+    want = [(1, a, 0), (2, a, size(a)), (2, a, size(a)), (2, b, 0), (5, c + " tail", 0), (2**63 - 1, b, size(b)), (None, c, size(c)), (None, a, size(a)), (None, "", 0), (None, rows[8][1], 0)]
+    assert gone == sorted(((i is None, i or 0), size(t), n) for i, t, n in want)
+    texts = sorted(((r.doc_id is None, r.doc_id or 0), r.text or "") for r in suffixdedup.cut(docs_of(rows), without_id=True).collect())
+    assert texts == sorted(((i is None, i or 0), "" if n else t) for i, t, n in want)
+    assert suffixdedup.cut(docs_of(rows)).count() == 6
+
+    near = minhash.near_duplicates(docs_of(rows), without_id=True).collect()
+    assert len(near) == len(rows)
+    found = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in near)
+    assert found == sorted([(False, 1, 56, 1, True), (False, 2, 56, 1, False), (False, 2, 56, 1, False), (False, 2, 56, 2, True), (True, 0, 56, 5, False), (True, 0, 56, 1, False), (False, 5, 57, 5, True), (True, 0, 0, 0, True), (True, 0, 36, 0, True), (False, 2**63 - 1, 56, 2, False)])
+    kept = minhash.keep_first(docs_of(rows), without_id=True)
+    assert kept.columns == docs_of(rows).columns
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(False, 1, a), (False, 2, b), (False, 5, c + " tail"), (True, 0, ""), (True, 0, rows[8][1])])
+
+
+def test_numbers_keep_the_order_of_ids(spark, docs_of):
+    rows = [(5, "x"), (-7, "y"), (5, "x"), (5, "z"), (None, "q"), (None, "r"), (0, None), (9, "")]
+    d = Documents.of(docs_of(rows), True)
+    keys = d.keys.orderBy("number").collect()
+    assert [r.number for r in keys] == list(range(7)) and [r.doc_id for r in keys] == [-7, 0, 5, 5, 9, None, None] and d.bytes == 6
+    assert sorted(r.number for r in d.texts.collect()) == [0, 1, 2, 2, 3, 4, 5, 6] or len({r.number for r in d.texts.collect()}) == 7
+    plain = Documents.of(docs_of([(3, "ab"), (4, None)]))
+    assert plain.keys is None and plain.bytes == 2 and sorted(r.number for r in plain.texts.collect()) == [3, 4]
+    assert Documents.of(docs_of([])).bytes == 0
+
+
+def test_classes_across_batches():
+    """However rows are cut into batches, the same members, spans and hot hashes come out."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    rows = sorted((rng.randrange(6) ** 2 // 4, rng.randrange(1, 9), rng.randrange(40), rng.randrange(20, 520), rng.choice([0, 5 << 8 | 5, 9 << 8 | 9])) for _ in range(300))
+    rows += [(99, 1, 1, 200, 0), (100, 1, 2, 200, 0), (100, 1, 3, 200, 0), (101, 1, 1, 300, 0), (101, 2, 1, 400, 0)]
+    firsts = {}
+    for r in rows:
+        firsts.setdefault(r[:2], r)
+    classes = Counter(h for h, _ in firsts)
+    want_hot = sorted(h for h, n in classes.items() if n > 4)
+    want_firsts = sorted((h, d, a, e) for (h, _), (_, _, d, a, e) in firsts.items() if classes[h] > 1)
+    want_cover = set()
+    for r in rows:
+        f = firsts[r[:2]]
+        if (r[2], r[3]) != (f[2], f[3]):
+            lo = r[3] - (r[4] >> 8)
+            want_cover |= {(r[2], p) for p in range(lo, lo + (r[4] & 255) + 100)}
+    for size in (1, 2, 7, 50, 1000):
+        cols = [np.array(c, dtype=np.int64) for c in zip(*rows)]
+        batches = [b for i in range(0, len(rows), size) for b in suffixdedup.rows_of(*[c[i : i + size] for c in cols])]
+        out = [r for b in suffixdedup._classes(4)(iter([*batches, *suffixdedup.rows_of(*[np.array([x]) for x in (7, 8, 9, 10, suffixdedup.HASHED)])])) for r in zip(*[c.to_pylist() for c in b.columns])]
+        assert sorted(h for h, *_, e in out if e == suffixdedup.BEACON) == want_hot
+        assert sorted((h, d, a, e) for h, _, d, a, e in out if e >= 0) == want_firsts
+        assert {(d, p) for _, c, d, a, e in out if e == suffixdedup.SPAN for p in range(a, c)} == want_cover
+        assert [r for r in out if r[4] == suffixdedup.HASHED] == [(7, 8, 9, 10, suffixdedup.HASHED)]
+    assert pa is not None
+
+
+def test_a_hash_that_is_hot_in_no_task_alone(spark, docs_of):
+    """More than HOT different contexts of one anchor, a few in each partition."""
+    rng = random.Random(17)
+    word = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    hot = word(99)
+    docs = [(i, word(70) + hot + word(70)) for i in range(150)]
+    docs += [(200 + i, docs[i][1][30:] + word(20)) for i in range(0, 150, 7)]
+    want = brute_repeats(docs)
+    for many in (3, suffixdedup.MANY):
+        found = suffixdedup.repeated_spans(Documents.of(docs_of(docs, 24)), many).collect()
+        spans = {r.number: suffixdedup.merged([tuple(x) for x in r.spans], 10**9) for r in found}
+        assert {i: (sum(b - a for a, b in spans.get(i, [])), len(spans.get(i, []))) for i, _ in docs} == {i: (n, k) for i, (_, n, k, _) in want.items()}
+    assert sum(r[1] for r in want.values()) > 0
+
+
+@pytest.mark.parametrize("block", [4, 20])
+def test_large_components_have_blocks_of_their_own(spark, block, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = random.Random(5)
+    rows = [(key, doc, rng.choice([1, 1, 1, 2, 3, doc]), 10) for key in (7, 8) for doc in range(60)]
+    own = spark.createDataFrame([(k, d, 10, 0, c) for k, d, c, _ in rows], "key long, doc_id long, n long, band int, component long")
+    placed = {}
+    for r in minhash.in_pairs_of_blocks(own).collect():
+        placed.setdefault((r.key, r.a, r.b), []).append(r)
+    component = {(k, d): c for k, d, c, _ in rows}
+    met = set()
+    for (key, a, b), members in placed.items():
+        assert all(m.component == component[key, m.doc_id] for m in members)
+        assert all((m.side == 2) == (a == b) for m in members)
+        left, right = [m.doc_id for m in members if m.side != 1], [m.doc_id for m in members if m.side != 0]
+        met |= {(key, min(x, y), max(x, y)) for x in left for y in right if component[key, x] != component[key, y]}
+    every = {(key, x, y) for key in (7, 8) for x in range(60) for y in range(x + 1, 60) if component[key, x] != component[key, y]}
+    assert met == every
+    large = spark.createDataFrame([(1, d, 10, 0, 0 if d < 1000 else d) for d in range(1003)], "key long, doc_id long, n long, band int, component long")
+    assert minhash.in_pairs_of_blocks(large).count() == 1000 + 3 * (1000 // block + 1)
