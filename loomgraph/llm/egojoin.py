@@ -29,10 +29,11 @@ from loomgraph.llm.vectors import dimensions, matrix, rows_of, usable
 AXES = 16
 CELLS = 4  # axes in the sort key
 #: Most vectors of a block, bytes of its vectors in double precision, and vectors of a leaf of the recursion and of an interval with a box of its own.
-BLOCK, BLOCK_BYTES, LEAF, SHORT = 1 << 15, 16 << 20, 256, 64
+BLOCK, BLOCK_BYTES, LEAF, SHORT = 1 << 15, 16 << 20, 512, 64
 #: Links of a task that are held before they are made stars.
 HELD_LINKS = 1 << 20
-SLACK = 1e-9
+#: What rounding may take from a squared distance, and from a product in single precision.
+SLACK, SINGLE = 1e-9, 1e-4
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -152,9 +153,16 @@ def _merge_blocks(axes: np.ndarray, size: int, d: int):
     return run
 
 
+def _short(p: np.ndarray) -> np.ndarray:
+    """Projections of unit vectors with the length of the rest as one more component, in single precision: products of these are no smaller than those of the vectors, but for SINGLE."""
+    rest = np.sqrt(np.maximum(0, 1 - np.einsum("nd,nd->n", p, p)))
+    return np.concatenate([p, rest[:, None]], axis=1).astype(np.float32)
+
+
 def interval_pairs(x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray, cosine: float, epsilon: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions (i, j) of all pairs of x and y with at least the cosine, those of two leaves at a time; of one interval with itself those with i < j."""
     far = epsilon * epsilon + SLACK
+    left, right = _short(px), _short(py)
     todo = [(0, len(x), 0, len(y))]
     while todo:
         a, b, c, d = todo.pop()
@@ -164,13 +172,18 @@ def interval_pairs(x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray,
         if gap @ gap > far:
             continue
         if b - a <= LEAF and d - c <= LEAF:
-            i, j = np.nonzero(x[a:b] @ y[c:d].T >= cosine)
+            # what lies off the axes adds at most the product of its lengths
+            i, j = np.nonzero(left[a:b] @ right[c:d].T >= np.float32(cosine - SINGLE))
             i, j = i + a, j + c
             if same:
                 keep = i < j
                 i, j = i[keep], j[keep]
-            if len(i):
-                yield i, j
+            if 4 * len(i) > (b - a) * (d - c):
+                on = (x[a:b] @ y[c:d].T)[i - a, j - c] >= cosine
+            else:
+                on = np.concatenate([np.einsum("nd,nd->n", x[i[k : k + LEAF]], y[j[k : k + LEAF]]) for k in range(0, len(i), LEAF)] or [np.zeros(0)]) >= cosine
+            if on.any():
+                yield i[on], j[on]
         elif b - a >= d - c:
             m = (a + b) // 2
             todo += [(a, m, c, d), (m, b, c, d)]
