@@ -15,7 +15,7 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -254,6 +254,6 @@ def read_offset_degrees(spark: SparkSession, directory: str, e: EdgeInfo, order:
     size = layout.chunk_size_of(e, o)
     check_chunks(spark, root, -(-n // size))
     df = placed(spark, o.file_type, [T.StructField(OFFSET_COLUMN, T.LongType())], [root]).withColumnRenamed(OFFSET_COLUMN, "begin")
-    end = df.select("_chunk", (F.col("_row") - 1).alias("_row"), F.col("begin").alias("end"))
+    end = F.lead("begin").over(Window.partitionBy("_chunk").orderBy("_row"))  # a chunk's rows, a bounded number
     vid = (F.col("_chunk") * size + F.col("_row")).alias("vid")
-    return df.join(end, ["_chunk", "_row"]).select((F.col("end") - F.col("begin")).alias("degree"), vid).where(F.col("vid") < n)
+    return df.withColumn("end", end).where("end IS NOT NULL").select((F.col("end") - F.col("begin")).alias("degree"), vid).where(F.col("vid") < n)
