@@ -10,7 +10,7 @@ threshold; groups are the connected components of the links.
    threshold are dropped; the others are confirmed on the full sets, the nearest of each document first, and further
    ones only where they'd join two components.
 4. In buckets that still hold several components, all other pairs across components are compared by sketch, in blocks of bounded size: a large component's own
-   blocks meet those of others only. Documents that
+   blocks meet those of others only, and sets meet those of about their size only. Documents that
    have a near sketch in another component of their block are compared there on the full sets, all at once; a star of links for each component
    found is all that leaves the block. Pairs within a component can't change the result, so no link between documents that share a bucket is lost.
 
@@ -376,7 +376,7 @@ def grouped(documents: Documents, width: int, percent: int) -> DataFrame:
     mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     mixed = materialize(mixed, "mixed")  # a table, so that a bucket of very many documents can be split in the join
     own = materialize(own.join(mixed, "key", "left_semi").select("key", "doc_id", "n", "band", "component"), "mixed-members")
-    spread = in_pairs_of_blocks(own).join(reps.drop("n"), "doc_id")
+    spread = in_pairs_of_blocks(own, percent).join(reps.drop("n"), "doc_id")
     spread = spread.select("key", "a", "b", "side", "doc_id", "component", "sketch", "bands", "band")
     in_blocks = lambda df, size: df.repartition(partitions(spark, size), "key", "a", "b").sortWithinPartitions("key", "a", "b")
     spread = materialize(spread, "blocks")
@@ -393,26 +393,29 @@ def grouped(documents: Documents, width: int, percent: int) -> DataFrame:
     return ids.select(F.col("doc_id").alias("number"), "n", F.coalesce("component", "rep", "doc_id").alias("component"))
 
 
-def in_pairs_of_blocks(own: DataFrame) -> DataFrame:
-    """(key, a, b, side, doc_id, component, band) of members own(key, doc_id, n, band, component) of buckets: each in every pair of its bucket's blocks that can hold a pair across components.
+def in_pairs_of_blocks(own: DataFrame, percent: int = 80) -> DataFrame:
+    """(key, a, b, side, doc_id, component, band) of members own(key, doc_id, n, band, component) of buckets: each in every pair of its bucket's blocks that can hold a similar pair across components.
 
-    A component of a block's size or more has blocks of its own, which don't meet each other; the smaller ones share blocks. So a bucket of one large component and a few
-    others takes rows in proportion to its size.
+    Sets that are similar enough are of one level of sizes or of two neighbouring ones, and blocks are of one level. A component of a block's size or more has blocks of its own, which don't
+    meet each other; the smaller ones share blocks. So a bucket of one large component and a few others takes rows in proportion to its size.
     """
+    level = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent) + 1e-9)).cast("long")
+    own = own.withColumn("level", level)
     blocks = lambda n, shingles: F.ceil(F.greatest(n / F.lit(BLOCK), shingles / F.lit(BLOCK_SHINGLES))).cast("long")
-    sizes = own.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n").alias("shingles"))
+    sizes = own.groupBy("key", "component", "level").agg(F.count("*").alias("n"), F.sum("n").alias("shingles"))
     sizes = sizes.withColumn("large", (F.col("n") >= BLOCK) | (F.col("shingles") >= BLOCK_SHINGLES))
-    groups = sizes.groupBy("key", F.when(F.col("large"), F.col("component")).alias("part")).agg(blocks(F.sum("n"), F.sum("shingles")).alias("blocks"))  # part: null for the small ones
+    groups = sizes.groupBy("key", "level", F.when(F.col("large"), F.col("component")).alias("part")).agg(blocks(F.sum("n"), F.sum("shingles")).alias("blocks"))  # part: null for the small ones
     groups = materialize(groups, "parts")
-    every = groups.select("key", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"))
-    every = every.select("key", F.struct("part", "i").alias("other"))
-    mine = own.join(sizes.where("large").select("key", "component", F.lit(True).alias("_large")), ["key", "component"], "left")
+    every = groups.select(F.col("key").alias("_key"), "level", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"))
+    # each block with the levels of those that it meets
+    every = every.select("_key", F.struct("part", "level", "i").alias("other"), F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)).alias("_near"))
+    mine = own.join(sizes.where("large").select("key", "component", "level", F.lit(True).alias("_large")), ["key", "component", "level"], "left")
     mine = mine.withColumn("part", F.when(F.col("_large"), F.col("component")))
-    counts = groups.select("key", F.col("part").alias("_part"), "blocks")
-    mine = mine.join(counts, (mine["key"] == counts["key"]) & mine["part"].eqNullSafe(counts["_part"])).drop(counts["key"])
-    mine = mine.select("key", "doc_id", "component", "band", F.struct("part", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("i")).alias("home"))
-    pairs = mine.join(every, "key").where(F.col("home.part").isNull() | ~F.col("home.part").eqNullSafe(F.col("other.part")))
-    name = lambda c: F.xxhash64(F.coalesce(F.col(f"{c}.part"), F.lit(-1)), F.col(f"{c}.part").isNull(), F.col(f"{c}.i"))
+    counts = groups.select(F.col("key").alias("_key"), F.col("level").alias("_level"), F.col("part").alias("_part"), "blocks")
+    mine = mine.join(counts, (F.col("key") == F.col("_key")) & (F.col("level") == F.col("_level")) & F.col("part").eqNullSafe(F.col("_part"))).drop("_key")
+    mine = mine.select("key", "level", "doc_id", "component", "band", F.struct("part", "level", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("i")).alias("home"))
+    pairs = mine.join(every, (F.col("key") == F.col("_key")) & (F.col("level") == F.col("_near"))).where(F.col("home.part").isNull() | ~F.col("home.part").eqNullSafe(F.col("other.part")))
+    name = lambda c: F.xxhash64(F.coalesce(F.col(f"{c}.part"), F.lit(-1)), F.col(f"{c}.part").isNull(), F.col(f"{c}.level"), F.col(f"{c}.i"))
     s, t = name("home"), name("other")
     return pairs.select("key", F.least(s, t).alias("a"), F.greatest(s, t).alias("b"), F.when(s == t, 2).when(s < t, 0).otherwise(1).cast("long").alias("side"), "doc_id", "component", "band")
 

@@ -387,5 +387,31 @@ def test_large_components_have_blocks_of_their_own(spark, block, monkeypatch):
         met |= {(key, min(x, y), max(x, y)) for x in left for y in right if component[key, x] != component[key, y]}
     every = {(key, x, y) for key in (7, 8) for x in range(60) for y in range(x + 1, 60) if component[key, x] != component[key, y]}
     assert met == every
+    # of different sizes, those pairs meet that can be similar enough
+    sized = spark.createDataFrame([(1, d, 5 + d, 0, d) for d in range(60)], "key long, doc_id long, n long, band int, component long")
+    placed, met = {}, set()
+    for r in minhash.in_pairs_of_blocks(sized).collect():
+        placed.setdefault((r.a, r.b), []).append(r)
+    for members in placed.values():
+        met |= {(min(x.doc_id, y.doc_id), max(x.doc_id, y.doc_id)) for x in members if x.side != 1 for y in members if y.side != 0 and x.doc_id != y.doc_id}
+    assert met >= {(x, y) for x in range(60) for y in range(x + 1, 60) if 100 * (5 + x) >= 80 * (5 + y)} and len(met) < 60 * 59 // 2 * 0.7
     large = spark.createDataFrame([(1, d, 10, 0, 0 if d < 1000 else d) for d in range(1003)], "key long, doc_id long, n long, band int, component long")
     assert minhash.in_pairs_of_blocks(large).count() == 1000 + 3 * (1000 // block + 1)
+
+
+@pytest.mark.parametrize("given,kept", [("64m", False), ("2m", True), ("1 KiB", True), ("2147483647", False), ("4194304b", True), ("1g", False)])
+def test_batches_are_bounded_however_their_size_is_written(given, kept):
+    from types import SimpleNamespace
+
+    from loomgraph.llm import common
+
+    conf = {"spark.sql.execution.arrow.maxBytesPerBatch": given}
+    session = SimpleNamespace(conf=SimpleNamespace(get=conf.get, set=conf.__setitem__), sparkContext=SimpleNamespace(_loomgraph_shipped=True))
+    common.prepare(session)
+    assert conf["spark.sql.execution.arrow.maxBytesPerBatch"] == (given if kept else str(common.ARROW_BYTES))
+
+
+def test_components_of_a_long_path(spark):
+    """More rounds than any fixed number would be needed if a round merged neighbours alone."""
+    links = [(i, i + 1) for i in range(3000)]
+    assert {r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()} == {0}
