@@ -55,7 +55,8 @@ class Documents:
         told = by_id.agg(F.sum("size"), F.max("n"), F.max(F.col("doc_id").isNull())).first()
         names = [c for c in rows.columns if c != "doc_id"]
         if (told[1] or 0) < 2 and not told[2]:
-            return cls(rows.select(F.col("doc_id").alias("number"), *names), None, int(told[0] or 0))
+            # no id is null; said so, inner and outer joins of texts can share one exchange
+            return cls(rows.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("number"), *names), None, int(told[0] or 0))
         rows = rows.withColumn("_text", F.xxhash64("text"))
         order = (F.col("doc_id").asc_nulls_last(), F.col("_text"))
         dealt = rows.select("doc_id", "_text").distinct().repartitionByRange(partitions(spark, 0), *order)

@@ -560,10 +560,13 @@ def whole_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
 
 
 def _with_spans(docs: DataFrame, without_id: bool, *keep: Column) -> DataFrame:
-    """(doc_id, text, spans, ...) of docs."""
-    documents = Documents.of(docs, without_id, (F.col("doc_id").alias("_doc_id"), *keep))
-    joined = documents.texts.join(repeated_spans(documents), "number", "left").drop("number")
-    return joined.withColumnRenamed("_doc_id", "doc_id")
+    """(doc_id, text, spans, ...) of docs, doc_id as a long."""
+    documents = Documents.of(docs, without_id, keep)
+    spans = repeated_spans(documents)
+    # the columns of texts in the order that repeated_spans has, so that one exchange of texts serves both
+    texts = documents.texts.select(F.col("number").alias("doc_id"), *[c for c in documents.texts.columns if c != "number"])
+    joined = texts.join(spans.withColumnRenamed("number", "doc_id"), "doc_id", "left")
+    return joined if documents.keys is None else documents.named(joined.withColumnRenamed("doc_id", "number"), ("number", "doc_id"))
 
 
 def digests(docs: DataFrame, without_id: bool = False) -> DataFrame:
@@ -580,7 +583,7 @@ def digests(docs: DataFrame, without_id: bool = False) -> DataFrame:
                 sha.append(hashlib.sha256(without(t, spans)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.int64()) for x in (n, gone, count)], pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _with_spans(docs, without_id).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _with_spans(docs, without_id).select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cut(docs: DataFrame, without_id: bool = False) -> DataFrame:
@@ -602,7 +605,7 @@ def cut(docs: DataFrame, without_id: bool = False) -> DataFrame:
     joined = _with_spans(docs, without_id, row).select("doc_id", "text", "_row", "spans")
     done = joined.drop("spans")
     done = joined.mapInArrow(run, done.schema)
-    get = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    get = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("text")}
     if "n_chars" in names:
         get["n_chars"] = F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
     return done.select(*[get.get(c, F.col(f"_row.`{c}`")).alias(c) for c in names])
