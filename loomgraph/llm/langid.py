@@ -27,8 +27,8 @@ ROUNDS, SET_ROUNDS = 8, 5
 PENALTY = 6.0
 #: Languages below this share in the first estimate are not tried as further members of a set.
 LEAST_SHARE = 0.02
-#: The model is broadcast: 16 KB a language.
-MOST_LANGUAGES = 1024
+#: The model is broadcast: 16 KB a language, so 128 MB at most. More languages than are written in the world are refused.
+MOST_LANGUAGES = 8192
 SMOOTHING = 0.5
 #: Bytes of text hashed at a time.
 SLICE = 1 << 20
