@@ -122,11 +122,11 @@ class Graph:
 
     def bfs_length(self, pairs: DataFrame, triple: Triple | None = None) -> DataFrame:
         e = self._searchable(triple)
-        return operators.bfs_length(self._pairs(e), pairs, self.vertex_count(e.src))
+        return operators.bfs_length(lambda: self._pairs(e), pairs, self.vertex_count(e.src))
 
     def bfs_exist(self, pairs: DataFrame, triple: Triple | None = None) -> DataFrame:
         e = self._searchable(triple)
-        return operators.bfs_exist(self._pairs(e), pairs, self.vertex_count(e.src))
+        return operators.bfs_exist(lambda: self._pairs(e), pairs, self.vertex_count(e.src))
 
     def tables(self) -> list[str]:
         """Names of the vertex tables, then of the edge tables."""

@@ -7,12 +7,12 @@ join, and every level is written to the shared folder, so that a lost executor c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.errors import VertexRangeError
@@ -105,34 +105,37 @@ def bfs_levels(edges: DataFrame, sources: DataFrame, targets: DataFrame | None =
     return out
 
 
-def bfs_length(edges: DataFrame, pairs: DataFrame, vertices: int | None = None, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:
+def bfs_length(edges: DataFrame | Callable[[], DataFrame], pairs: DataFrame, vertices: int | None = None, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:
     """pairs(src, dst, ...) with bfs_length: the least number of edges from src to dst, 0 from a vertex to itself, -1 if there is no path; null for null ids.
 
-    vertices: the number of vertices; an id outside raises VertexRangeError.
+    edges: also as a function that reads them, which isn't called where no pair needs it. vertices: the number of vertices; an id outside raises VertexRangeError.
     """
+    read = edges if callable(edges) else lambda: edges
     some = pairs.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
     few = some.limit(FEW_PAIRS + 1).collect()
     if len(few) <= FEW_PAIRS:
-        return _of_few(edges, pairs, [tuple(r) for r in few], vertices, broadcast_edges)
+        return _of_few(read, pairs, [tuple(r) for r in few], vertices, broadcast_edges)
     if vertices is not None:
         outside = pairs.where(~F.col("src").between(0, vertices - 1) | ~F.col("dst").between(0, vertices - 1)).select("src", "dst").first()
         if outside is not None:
             raise VertexRangeError(tuple(outside))
     asked = some.where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct()
-    return _with_lengths(pairs, _search(edges, asked, broadcast_edges))
+    return _with_lengths(pairs, _search(read(), asked, broadcast_edges))
 
 
-def _search(edges: DataFrame, asked: DataFrame, broadcast_edges: int) -> DataFrame:
+def _search(edges: DataFrame, asked: DataFrame, broadcast_edges: int, few: bool = False) -> DataFrame:
     """(src, dst, bfs_length) of distinct pairs; those without a path have UNREACHED or no row."""
-    if at_most(_ids(edges), broadcast_edges):
-        asked = materialize(asked, "pairs")
-        return _broadcast(asked, edges, max(8, asked.count() // TARGETS))
+    small = at_most(_ids(edges), broadcast_edges)
+    if small and few:
+        return _broadcast(asked, edges, 1)
     asked = materialize(asked, "pairs")
+    if small:
+        return _broadcast(asked, edges, max(8, asked.count() // TARGETS))
     reached = bfs_levels(edges, asked, asked).select("src", F.col("vertex").alias("dst"), F.col("depth").alias("bfs_length"))
     return asked.join(reached, ["src", "dst"])
 
 
-def _of_few(edges: DataFrame, pairs: DataFrame, few: list[tuple], vertices: int | None, broadcast_edges: int) -> DataFrame:
+def _of_few(read: Callable[[], DataFrame], pairs: DataFrame, few: list[tuple], vertices: int | None, broadcast_edges: int) -> DataFrame:
     """bfs_length() of pairs that hold these few alone."""
     spark = pairs.sparkSession
     if vertices is not None:
@@ -140,22 +143,31 @@ def _of_few(edges: DataFrame, pairs: DataFrame, few: list[tuple], vertices: int
             if any(v is not None and not 0 <= v < vertices for v in p):
                 raise VertexRangeError(p)
     asked = {p for p in few if None not in p and p[0] != p[1]}
-    found = []
+    found: dict[tuple, int] = {}
     if asked:
-        ids = _ids(edges).where(F.col("s").isin(sorted({s for s, _ in asked})) & F.col("d").isin(sorted({d for _, d in asked})))
-        found = [(*p, 1) for p in asked & {tuple(r) for r in ids.groupBy("s", "d").agg(F.lit(1)).select("s", "d").collect()}]
-    known = spark.createDataFrame(found, "src long, dst long, bfs_length long")
-    if left := asked - {x[:2] for x in found}:
-        known = known.unionByName(_search(edges, spark.createDataFrame(sorted(left), "src long, dst long"), broadcast_edges))
-    return _with_lengths(pairs, F.broadcast(known))
+        edges = read()
+        near = _ids(edges).where(F.col("s").isin(sorted({s for s, _ in asked})) & F.col("d").isin(sorted({d for _, d in asked})))
+        found = dict.fromkeys(asked & {tuple(r) for r in near.groupBy("s", "d").agg(F.lit(1)).select("s", "d").collect()}, 1)
+        if left := asked - found.keys():
+            rest = _search(edges, spark.createDataFrame(sorted(left), "src long, dst long"), broadcast_edges, few=True)
+            return _with_lengths(pairs, F.broadcast(spark.createDataFrame([(*p, n) for p, n in found.items()], "src long, dst long, bfs_length long").unionByName(rest)))
+    length = F.lit(None).cast("long")
+    for (s, d), n in found.items():
+        length = F.when((F.col("src") == s) & (F.col("dst") == d), n).otherwise(length)
+    return pairs.select(*pairs.columns, _told(length).alias("bfs_length"))
+
+
+def _told(length) -> Column:
+    """The length of a row's pair, given what was found for it."""
+    known = F.when(F.col("src").isNull() | F.col("dst").isNull(), None).when(F.col("src") == F.col("dst"), 0).otherwise(F.coalesce(length, F.lit(UNREACHED)))
+    return known.cast("long")
 
 
 def _with_lengths(pairs: DataFrame, found: DataFrame) -> DataFrame:
     out = pairs.join(found, ["src", "dst"], "left").select(*pairs.columns, F.col("bfs_length").alias("_found"))
-    known = F.when(F.col("src").isNull() | F.col("dst").isNull(), None).when(F.col("src") == F.col("dst"), 0).otherwise(F.coalesce("_found", F.lit(UNREACHED)))
-    return out.select(*pairs.columns, known.cast("long").alias("bfs_length"))
+    return out.select(*pairs.columns, _told(F.col("_found")).alias("bfs_length"))
 
 
-def bfs_exist(edges: DataFrame, pairs: DataFrame, vertices: int | None = None, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:
+def bfs_exist(edges: DataFrame | Callable[[], DataFrame], pairs: DataFrame, vertices: int | None = None, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:
     """pairs(src, dst, ...) with bfs_exist: whether dst can be reached from src."""
     return bfs_length(edges, pairs, vertices, broadcast_edges).withColumn("bfs_exist", F.col("bfs_length") != UNREACHED).drop("bfs_length")
