@@ -23,6 +23,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def ledger_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the ledger of a folder's texts is kept, in the shared folder: a later run over the same one scans what it doesn't know."""
+    return f"{shared_dir(spark)}/loomgraph/secret-ledger/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+
+
 def op1_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return egojoin.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.95, every_row=True)
 
@@ -38,9 +43,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger is kept in the shared folder, by table: a later run over the same one scans what it doesn't know."""
-    ledger = f"{shared_dir(spark)}/loomgraph/secret-ledger/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
-    return secrets.secrets(documents(spark, sf_dir), at=ledger)
+    return secrets.secrets(documents(spark, sf_dir), at=ledger_path(spark, sf_dir))
 
 
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

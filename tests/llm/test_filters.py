@@ -244,14 +244,18 @@ def test_a_stored_ledger_spares_a_second_scan(spark, docs_of, tmp_path, monkeypa
     one = sorted(map(tuple, secrets.secrets(first, at=at).collect()))
     two = sorted(map(tuple, secrets.secrets(first, at=at).collect()))
     grown = secrets.secrets(first.unionByName(docs_of([(5, SECRETS[2]), (6, "nothing")])), at=at).collect()
-    assert scanned == [3, 0, 1] and one == two == sorted(map(tuple, secrets.secrets(first).collect()))
+    assert scanned == [3, 0, 1] and one == two == sorted(map(tuple, secrets.digest(secrets.findings(first, secrets.update(first))).collect()))
+    scanned.clear()
     assert {r.doc_id: r.n_access for r in grown} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 1, 6: 0}
+    masked = lambda df, **b: sorted((r.doc_id, r.text or "") for r in secrets.redact(df, **b).collect())
+    more = first.unionByName(docs_of([(9, SECRETS[0]), (9, SECRETS[0])]))
+    assert masked(more, at=at) == masked(more) and masked(more, at=at) == masked(more) and scanned == [1, 4, 0, 4]
     # a run that wasn't finished counts for nothing, a pair that two runs scanned counts once
     ledger = secrets.read_ledger(spark, at)
     ledger.write.parquet(f"{at}/run-again")
     ledger.write.parquet(f"{at}/run-broken")
     os.remove(f"{at}/run-broken/_SUCCESS")
-    assert secrets.read_ledger(spark, at).count() == 4
+    assert secrets.read_ledger(spark, at).count() == 5
     assert sorted(map(tuple, secrets.secrets(first, at=at).collect())) == one
 
 
