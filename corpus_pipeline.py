@@ -6,7 +6,7 @@ returns the pieces of packed sequences. A stage's docs are its predecessor's res
 1. language_id: documents without a language (no text or no letter) go, and only those, also where no document has a language to learn from.
 2. near_dedup: of each group of near duplicates (five-word shingles, similarity 0.8 or more) the smallest doc_id stays.
 3. suffix_dedup: passages of 100 bytes or more that occurred before are cut out, whole characters only. Rows stay, even if nothing is left of their text.
-4. secrets: secrets in texts are masked.
+4. secrets: secrets in texts are masked. The ledger of what was scanned is kept by sf_dir, in the shared folder; without one it serves this run alone.
 5. packing: texts are encoded and packed into windows of 1024 tokens.
 
 Nulls: a row without text goes in the first stage; one without a doc_id is a document like any other, after all that have one. Very long texts are read whole. Ties and
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomgraph.llm import langid, minhash, packing, secrets, suffixdedup
 from loomgraph.llm.common import materialize
-from loomgraph.llm.queries import documents, tokenizer_path
+from loomgraph.llm.queries import documents, ledger_path, tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs)
+    return secrets.redact(docs, at=ledger_path(spark, sf_dir) if sf_dir else None)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
