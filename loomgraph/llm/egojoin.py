@@ -200,15 +200,21 @@ def join_intervals(x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray,
 
 
 def smallest_reachable(i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each position the smallest id that links (i, j) lead to."""
-    root = ids.copy()
+    """For each position the smallest id that links (i, j) lead to. Labels point to smaller ones and are followed each round, so long chains take few rounds."""
+    order = np.argsort(ids, kind="stable")
+    rank = np.empty(len(ids), dtype=np.int64)
+    rank[order] = np.arange(len(ids))
+    a, b = rank[i], rank[j]
+    low = np.arange(len(ids))
     while True:
-        before = root.copy()
-        low = np.minimum(root[i], root[j])
-        np.minimum.at(root, i, low)
-        np.minimum.at(root, j, low)
-        if (root == before).all():
-            return root
+        before = low
+        low = low.copy()
+        least = np.minimum(low[a], low[b])
+        for ends in (low[a], low[b], a, b):
+            np.minimum.at(low, ends, least)
+        low = low[low]
+        if (low == before).all():
+            return ids[order][low][rank]
 
 
 def _join(axes: np.ndarray, d: int, cosine: float, epsilon: float, by_row: bool):

@@ -252,3 +252,20 @@ def test_vectors_sent_are_those_near_a_block(spark):
     (out,) = egojoin._parts(3)(iter([sent]))
     got, _, vectors = egojoin.unpack(*(out.column(i)[0].as_py() for i in (2, 3, 4)), 3)
     assert got.tolist() == [*range(64), *range(128, 150)] and (vectors == x[got]).all()
+
+
+def test_smallest_reachable():
+    rng = np.random.default_rng(12)
+    for n, m in [(1, 0), (50, 20), (200, 180), (400, 900)]:
+        ids = rng.permutation(n * 3)[:n].astype(np.int64)
+        i, j = rng.integers(0, n, m), rng.integers(0, n, m)
+        want = ids.copy()
+        for _ in range(n):
+            for x, y in zip(i, j):
+                want[x] = want[y] = min(want[x], want[y])
+            if all(want[x] == want[y] for x, y in zip(i, j)):
+                break
+        assert (egojoin.smallest_reachable(i, j, ids) == want).all()
+    n = 100_000  # a chain in no order, which hops alone would take as many rounds for
+    chain = rng.permutation(n)
+    assert (egojoin.smallest_reachable(chain[:-1], chain[1:], np.arange(n) + 7) == 7).all()
