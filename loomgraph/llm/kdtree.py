@@ -33,6 +33,8 @@ EXACT = 1 << 53  # whole numbers that doubles hold without a gap
 SHARD, LEAF, QUERIES = 8192, 128, 512
 #: Bytes of all shards' boxes together: shards are made as large as it takes.
 BOX_BYTES = 64 << 20
+#: Bounds of queries and boxes that a task holds at a time.
+BOUNDS = 1 << 21
 CELLS, WIDTH = 4, 0.25  # axes of the grid that vectors are sorted by, and the width of its cells
 LARGEST = 1 << 31  # components below it are kept in four bytes
 LEAST_LONG, MOST_LONG = -(1 << 63), (1 << 63) - 1
@@ -206,9 +208,10 @@ def _deal(boxes, d: int, scale: int, home: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards, lo, hi = boxes.value
+        step = max(1, min(QUERIES, BOUNDS // len(shards)))
         for batch in batches:
-            for start in range(0, batch.num_rows, QUERIES):
-                part = batch.slice(start, QUERIES)
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
                 q = integers(matrix(part.column(1), part.num_rows), scale)
                 ids, least = part.column(0).to_numpy(), part.column(2).to_pylist()
                 bound = box_bounds(q, lo, hi)
