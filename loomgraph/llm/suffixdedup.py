@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,8 @@ HOT = 64
 MANY = 1 << 14
 #: Hot anchors whose windows a task holds at once.
 HOT_ANCHORS = 50_000
+#: Contexts that a task sorts or sends at a time, or more where one anchor hash has more.
+PORTION = 1 << 14
 #: Eight-byte characters of the multikey sort.
 SHALLOW = 2
 
@@ -269,7 +272,7 @@ def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     for batch in batches:
         held.append([np.array(c.to_pylist(), dtype=object) if pa.types.is_binary(c.type) or pa.types.is_large_binary(c.type) else c.to_numpy(zero_copy_only=False) for c in batch.columns])
         size += batch.num_rows
-        if size < 100_000:
+        if size < PORTION:
             continue
         cols = [np.concatenate(x) for x in zip(*held, strict=True)]
         cut = int(np.searchsorted(cols[0], cols[0][-1]))
@@ -468,28 +471,37 @@ CONTEXTS = "h long, doc_id long, at long, ext int, context binary"
 def _fetch(hot: bool):
     """Of documents with the anchors wanted of them: their contexts, or their windows by digest, of equal ones in a batch the first."""
 
+    names = ["h", "doc_id", "at", "ext", "context"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
+            ids, texts, wanted = batch.column(0).to_numpy(), texts_of(batch, 1), batch.column(2)
+            which = np.repeat(np.arange(len(texts)), pc.list_value_length(wanted).to_numpy(zero_copy_only=False))
+            every = wanted.flatten()
+            on = every.field("hot").to_numpy(zero_copy_only=False) == hot
+            h, at, ext = (every.field(c).to_numpy(zero_copy_only=False)[on] for c in ("h", "at", "ext"))
+            which, lo = which[on], at - (ext >> 8)
+            hi = lo + (ext & 255)
+            if not hot:
+                for k in range(0, len(h), PORTION):
+                    part = slice(k, k + PORTION)
+                    context = [texts[i][a:b] for i, a, b in zip(which[part].tolist(), lo[part].tolist(), (hi[part] + LENGTH).tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(h[part]), pa.array(ids[which[part]]), pa.array(at[part]), pa.array(ext[part]), pa.array(context, pa.binary())], names=names)
+                continue
             found: list[tuple] = []
-            for i, t, wanted in zip(batch.column(0).to_pylist(), texts_of(batch, 1), batch.column(2).to_pylist(), strict=True):
-                own = np.array([(w["h"], w["at"], w["ext"]) for w in wanted if w["hot"] == hot], dtype=np.int64).reshape(-1, 3)
-                lo = own[:, 1] - (own[:, 2] >> 8)
-                hi = lo + (own[:, 2] & 255)
-                if hot:
-                    for k in range(0, len(own), HOT_ANCHORS):
-                        part = slice(k, k + HOT_ANCHORS)
-                        found.append(windows(t, np.full(len(lo[part]), i), lo[part], hi[part], np.zeros(len(lo[part]), dtype=np.int64)))
-                        if sum(len(x[0]) for x in found) > 64 * HOT_ANCHORS // 4:
-                            yield from first_windows(*(np.concatenate(x) for x in zip(*found, strict=True)))
-                            found = []
-                else:
-                    out += [(h, i, at, ext, t[a : b + LENGTH]) for (h, at, ext), a, b in zip(own.tolist(), lo.tolist(), hi.tolist(), strict=True)]
+            size = 0
+            for i in np.unique(which).tolist():
+                a, b = np.searchsorted(which, [i, i + 1])
+                for k in range(a, b, PORTION):
+                    part = slice(k, min(k + PORTION, b))
+                    zero = np.zeros(part.stop - k, dtype=np.int64)
+                    found.append(windows(texts[i], zero + ids[i], lo[part], hi[part], zero))
+                    size += len(found[-1][0])
+                    if size > WINDOW * PORTION:
+                        yield from first_windows(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                        found, size = [], 0
             if found:
                 yield from first_windows(*(np.concatenate(x) for x in zip(*found, strict=True)))
-            if out:
-                cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary())], names=["h", "doc_id", "at", "ext", "context"])
 
     return run
 
