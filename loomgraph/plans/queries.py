@@ -280,7 +280,7 @@ def edges_vertex_function(spark, sf_dir):
 
 @query(f"{_lengths(_E1 + ', e AS (SELECT * FROM e1)', 'SELECT c_custkey AS dst FROM customer', (42,))} SELECT dst AS id, bfs_length, bfs_length <> -1 AS bfs_exist FROM lengths")
 def bfs_functions(spark, sf_dir):
-    g.stored(spark, sf_dir).attach()
+    g.stored(spark, sf_dir).attach(paths=True)
     return spark.sql(f"SELECT {VERTEX_INDEX} AS id, bfs_length(42, {VERTEX_INDEX}) AS bfs_length, bfs_exist(42, {VERTEX_INDEX}) AS bfs_exist FROM `Customer.vertex`")
 
 

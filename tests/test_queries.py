@@ -34,6 +34,16 @@ def test_query(spark, duck, name):
     assert got == sorted(told(r[i] for i in order) for r in rel.fetchall())
 
 
+def test_bfs_functions_of_many_edges(spark, duck, monkeypatch):
+    from loomgraph.sources import reader
+
+    for f in ("bfs_length", "bfs_exist"):
+        spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {f}")
+    monkeypatch.setattr(reader, "edge_count", lambda *_: 10**9)
+    got = QUERIES["bfs_functions"](spark, SF).select("id", "bfs_length", "bfs_exist").collect()
+    assert sorted(map(tuple, got)) == sorted(duck.sql(f"SELECT id, bfs_length, bfs_exist FROM ({ORACLES['bfs_functions']})").fetchall())
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
