@@ -73,9 +73,12 @@ def write_edges(spark: SparkSession, directory: str, e: EdgeInfo, df: DataFrame,
         degrees = spark.range(n).select(F.col("id").alias("v")).join(rows.groupBy(F.col(key).alias("v")).count(), "v", "left")
         degrees = degrees.select("v", F.coalesce("count", F.lit(0)).alias("n"), F.floor(F.col("v") / size).cast("int").alias("_c"))
         so_far = Window.partitionBy("_c").orderBy("v")
-        begins = degrees.select("_c", (F.col("v") % size).alias("_row"), (F.sum("n").over(so_far) - F.col("n")).alias(OFFSET_COLUMN))
-        ends = degrees.groupBy("_c").agg((F.max(F.col("v") % size) + 1).alias("_row"), F.sum("n").alias(OFFSET_COLUMN))
-        _write(begins.unionByName(ends), ["_c"], o.file_type, layout.offsets(directory, e, o), ["_row"])
+        upto, own, last = F.sum("n").over(so_far), F.col("v") % size, (F.col("v") % size == size - 1) | (F.col("v") == n - 1)
+        place = lambda row, at: F.struct(row.alias("_row"), at.alias(OFFSET_COLUMN))
+        begins = place(own, F.col("_upto") - F.col("n"))
+        bounds = degrees.withColumn("_upto", upto).select("_c", F.explode(F.when(last, F.array(begins, place(own + 1, F.col("_upto")))).otherwise(F.array(begins))).alias("_b"))
+        # no union of beginnings and ends: Spark 4.1 drops the shuffle behind one whose sides are dealt alike, and a chunk then lies in two tasks
+        _write(bounds.select("_c", "_b.*"), ["_c"], o.file_type, layout.offsets(directory, e, o), ["_row"])
         files = Files(spark, directory)
         files.put(layout.edge_vertex_count(directory, e, o), n.to_bytes(8, "little", signed=True))
         counts = {r["_p"]: r["count"] for r in rows.groupBy("_p").count().collect()}  # one for each part folder

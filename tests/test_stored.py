@@ -253,3 +253,33 @@ def test_times_are_logged(spark, stored, caplog):
     finally:
         spark.conf.unset("graph.timeLogging")
     assert any(r.name == "loomgraph" and "vertices B" in r.getMessage() for r in caplog.records)
+
+
+N = 2000
+
+
+@pytest.fixture(scope="module")
+def dealt(spark, tmp_path_factory):
+    """A graph of 125 chunks of vertices that several tasks write, and its edges."""
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    e = spark.range(3 * N).select((F.col("id") * F.col("id") % N).alias(SRC_INDEX), (F.col("id") * 7 % N).alias(DST_INDEX))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        path = write_graph(spark, str(tmp_path_factory.mktemp("dealt")), "g", {"A": (spark.range(N).select(F.col("id").alias(VERTEX_INDEX)), [])}, {NEXT: (e, [])}, 16, 1000)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return Graph.load(spark, path), e
+
+
+def counted(e, column=SRC_INDEX):
+    return {v: 0 for v in range(N)} | {r[0]: r[1] for r in e.groupBy(column).count().collect()}
+
+
+def test_offsets_written_by_several_tasks(dealt):
+    g, e = dealt
+    for by, column in (("src", SRC_INDEX), ("dst", DST_INDEX)):
+        got = g.degrees(NEXT, by).collect()
+        assert len(got) == N and {r[DEGREE_ID]: r["degree"] for r in got} == counted(e, column)
