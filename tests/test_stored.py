@@ -283,3 +283,11 @@ def test_offsets_written_by_several_tasks(dealt):
     for by, column in (("src", SRC_INDEX), ("dst", DST_INDEX)):
         got = g.degrees(NEXT, by).collect()
         assert len(got) == N and {r[DEGREE_ID]: r["degree"] for r in got} == counted(e, column)
+
+
+def test_degrees_in_sql_of_a_graph_written_by_several_tasks(spark, dealt):
+    g, e = dealt
+    g.attach(paths=False)
+    got = spark.sql(f"SELECT {DEGREE_ID}, degree FROM edges_vertex() WHERE degree > 2").collect()
+    g.detach()
+    assert sorted(map(tuple, got)) == sorted((v, n) for v, n in counted(e).items() if n > 2)
