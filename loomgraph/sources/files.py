@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from loomgraph.errors import GraphIOError
 from loomgraph.sources import layout
 
 
@@ -39,9 +40,10 @@ class Files:
         return int(self.fs.getContentSummary(at).getFileCount()) if self.fs.exists(at) else None
 
     def settle(self, tmp: str, to: str) -> None:
-        """Move the one file of each _d0=i/_d1=j folder under tmp to its place under to."""
+        """Move the one file of each _d0=i/_d1=j folder under tmp to its place under to. Two files for one place are an error: the second would replace the first."""
         files = self.fs.listFiles(self.path(tmp), True)
         made: set[str] = set()
+        moved: set[str] = set()
         while files.hasNext():
             f = files.next().getPath()
             if not f.getName().startswith("part-"):
@@ -51,7 +53,11 @@ class Files:
             if folder not in made:
                 made.add(folder)
                 self.fs.mkdirs(self.path(folder))
-            target = self.path(f"{folder}{layout.CHUNK}{places[-1]}")
+            place = f"{folder}{layout.CHUNK}{places[-1]}"
+            if place in moved:
+                raise GraphIOError(f"Two tasks wrote one chunk: {place}")
+            moved.add(place)
+            target = self.path(place)
             if not self.fs.rename(f, target):  # an older file is there
                 self.fs.delete(target, False)
                 self.fs.rename(f, target)

@@ -10,6 +10,7 @@ from loomgraph.errors import GraphBindError, GraphIOError, VertexRangeError
 from loomgraph.functions.scalar import banner
 from loomgraph.graph import Graph
 from loomgraph.metadata import DEGREE_ID, DST_INDEX, SRC_INDEX, VERTEX_INDEX, spark_type
+from loomgraph.sources.files import Files
 from loomgraph.sources.writer import write_graph
 
 NEXT, OWNS = ("A", "next", "A"), ("A", "owns", "B")
@@ -291,3 +292,21 @@ def test_degrees_in_sql_of_a_graph_written_by_several_tasks(spark, dealt):
     got = spark.sql(f"SELECT {DEGREE_ID}, degree FROM edges_vertex() WHERE degree > 2").collect()
     g.detach()
     assert sorted(map(tuple, got)) == sorted((v, n) for v, n in counted(e).items() if n > 2)
+
+
+def test_distribution_over_a_graph_written_by_several_tasks(dealt):
+    from loomgraph import operators as ops
+
+    g, e = dealt
+    want = {}
+    for n in counted(e).values():
+        want[n] = want.get(n, 0) + 1
+    assert {r["degree"]: r["vertices"] for r in ops.degree_distribution(g.degrees(NEXT)).collect()} == want
+
+
+def test_two_files_of_one_chunk_are_refused(spark, tmp_path):
+    tmp, to = f"{tmp_path}/x.writing", f"{tmp_path}/x/"
+    for _ in range(2):
+        spark.range(3).withColumn("_d0", F.lit(0)).write.partitionBy("_d0").mode("append").parquet(tmp)
+    with pytest.raises(GraphIOError, match="chunk0"):
+        Files(spark, to).settle(tmp, to)
